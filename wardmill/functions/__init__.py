@@ -6,6 +6,7 @@ from wardmill.functions.numeric import (
     correct_by,
     percent,
     recode,
+    to_double,
     total_of,
 )
 from wardmill.functions.text import code_text, is_blank_code, region_code, strip_text
@@ -24,5 +25,6 @@ __all__ = [
     "region_code",
     "stay_days",
     "strip_text",
+    "to_double",
     "total_of",
 ]

@@ -8,8 +8,11 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wardmill.functions.text import strip_text
+
 # Fixed value: what counts as a number once the money text has been cleaned.
-NUMBER = r"^\+?([0-9]+\.?[0-9]*|\.[0-9]+)([eE]\+?[0-9]+)?$"
+NUMBER = r"^\+?([0-9]+\.?[0-9]*|\.[0-9]+)([eE]\+?[0-9]+)?\z"
+SIGNED_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
 def clip(c: Column, low=None, high=None) -> Column:
@@ -30,6 +33,12 @@ def coerce_int(c: Column, type_name: str, low=None, high=None) -> Column:
     return clip(value, low, high).cast(type_name)
 
 
+def to_double(c: Column) -> Column:
+    """Number text to double, null if unreadable (a bare cast also takes ``12d``)."""
+    text = strip_text(c)
+    return F.when(text.rlike(SIGNED_NUMBER), text.try_cast("double"))
+
+
 def clean_money(c: Column) -> Column:
     """Money text to a non-negative double.
 

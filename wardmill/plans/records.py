@@ -18,6 +18,7 @@ from wardmill.functions import (
     recode,
     region_code,
     stay_days,
+    to_double,
     total_of,
 )
 from wardmill.operators.contract import contract
@@ -108,7 +109,7 @@ def treat(raw: DataFrame) -> DataFrame:
 def type_only(raw: DataFrame) -> DataFrame:
     """Types without imputation: money, dates and three small integers; failures are null."""
     frame = ensure_columns(raw, {"VAL_UTI": F.lit("0")})
-    rules = {n: F.col(n).try_cast("double") for n in MONEY}
+    rules = {n: to_double(F.col(n)) for n in MONEY}
     rules.update({n: parse_date(F.col(n)) for n in DATES})
     rules["NACIONAL"] = F.col("NACIONAL").try_cast("smallint")
     rules["NUM_FILHOS"] = F.col("NUM_FILHOS").try_cast("tinyint")
