@@ -79,7 +79,8 @@ def main() -> int:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     spark = build_session(
-        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+           "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = DATA / f"sf{sf}"

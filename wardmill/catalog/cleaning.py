@@ -40,6 +40,7 @@ from wardmill.functions import (
     stay_days,
     strip_text,
     to_double,
+    to_int,
     total_of,
 )
 from wardmill.operators.extract import valid_code
@@ -115,11 +116,11 @@ BIRTH = f"CASE WHEN l_returnflag = 'N' THEN NULL ELSE {SHIP_DAY} - {PRICE_DAYS}
 
 
 def _with_orders(spark, sf_dir, **columns):
-    lines = derive(table(spark, sf_dir, "lineitem"), {**LINE_KEY, **columns})
+    shipped = _lines(spark, sf_dir, **columns)
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("ordered")
     )
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return shipped.join(orders, shipped.l_orderkey == orders.o_orderkey)
 
 
 def _with_orders_sql(**columns):
@@ -200,9 +201,9 @@ ETHNICITY = f"CASE WHEN l_returnflag = 'A' THEN 0 ELSE {QUANTITY} END"
 
 
 def cross_column_fix(spark, sf_dir):
-    lines = _lines(spark, sf_dir, ethnicity=ETHNICITY)
+    rows = _lines(spark, sf_dir, ethnicity=ETHNICITY)
     race, ethnicity = F.col("l_linenumber"), F.col("ethnicity")
-    return lines.select(
+    return rows.select(
         *KEY, "ethnicity", correct_by(race, (race != 5) & (ethnicity != 0), 5).alias("race")
     )
 
@@ -233,13 +234,13 @@ FROM ({derive_sql({"p_partkey": "p_partkey", "t": CODE_TEXT}, "part")})"""
 
 
 def coerce_types_only(spark, sf_dir):
-    lines = _lines(spark, sf_dir, money=MONEY_TEXT, day=DATE_TEXT, n=INTEGER_TEXT)
-    return lines.select(
+    rows = _lines(spark, sf_dir, money=MONEY_TEXT, day=DATE_TEXT, n=INTEGER_TEXT)
+    return rows.select(
         *KEY,
         to_double(F.col("money")).alias("amount"),
         parse_date(F.col("day")).alias("day"),
-        F.col("n").try_cast("smallint").alias("as_smallint"),
-        F.col("n").try_cast("tinyint").alias("as_tinyint"),
+        to_int(F.col("n"), "smallint").alias("as_smallint"),
+        to_int(F.col("n"), "tinyint").alias("as_tinyint"),
     )
 
 
@@ -284,8 +285,8 @@ COHORT_COLUMNS = (
 
 
 def filter_isin_extract(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.where(
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.where(
         F.col("l_returnflag").isin("A", "R") & ~F.col("l_linenumber").isin(6, 7)
     ).select(*COHORT_COLUMNS)
 

@@ -12,11 +12,19 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardmill.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Billing lines spread over the cores, for work that is heavy per row."""
+    rows = table(spark, sf_dir, "lineitem")
+    return spread(rows.select(*columns) if columns else rows)
+
+
 def derive(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Select columns given as SQL expressions."""
     return df.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])

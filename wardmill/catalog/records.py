@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from wardmill.catalog.common import (
     PRICE_DAYS,
     PRICE_TEXT,
@@ -10,6 +12,7 @@ from wardmill.catalog.common import (
     day_text,
     derive,
     derive_sql,
+    lines,
     sql_age,
     sql_clip,
     sql_code,
@@ -26,7 +29,7 @@ from wardmill.plans.audit import audit, declared_checks
 from wardmill.plans.model import FACT, TABLES
 from wardmill.plans.records import COLUMNS, CODES, contract_records, treat, type_only, unidentified
 from wardmill.plans.star import FACT_COLUMNS, HOSPITAL_ATTRIBUTES, star_tables
-from pyspark.sql import functions as F
+from wardmill.session import stage
 
 QUERIES = {}
 ORACLE = {}
@@ -106,7 +109,7 @@ RAW = {
 
 def raw_records(spark, sf_dir):
     """46 text columns; those not derived are filled in as null by the canonical projection."""
-    return as_text(derive(table(spark, sf_dir, "lineitem"), RAW), COLUMNS)
+    return as_text(derive(lines(spark, sf_dir), RAW), COLUMNS)
 
 
 RAW_SQL = derive_sql({**RAW, "GESTRICO": "CAST(NULL AS STRING)"}, "lineitem")
@@ -326,8 +329,12 @@ LOOKUPS = {
 
 
 def star_schema(spark, sf_dir):
-    """Every table in its declared columns and types; the id of the services is not needed."""
-    tables = dict(star_tables(*_stages(spark, sf_dir)))
+    """Every table in its declared columns and types; the id of the services is not needed.
+
+    The treated and contracted records are written once, since every table reads one of them.
+    """
+    treated = stage(treat(raw_records(spark, sf_dir)), "treated")
+    tables = dict(star_tables(treated, stage(contract_records(treated), "contracted")))
     for name, (source, columns) in LOOKUPS.items():
         tables[name] = derive(table(spark, sf_dir, source), columns)
     return {

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardmill.catalog.common import QUANTITY, SHIP_DAY, derive, derive_sql, table
+from wardmill.functions import narrow
 from wardmill.operators.contract import contract, dedup_first
 from wardmill.operators.extract import Satellite, extract, mode_dimension, unpivot_codes
 from wardmill.operators.keys import number_rows
@@ -324,7 +325,7 @@ def satellite_positive(spark, sf_dir):
         ("l_orderkey", "quantity", "discount_part"),
         where=F.col("discount_part") > 0,
         rules={
-            "quantity": F.col("quantity").try_cast("int"),
+            "quantity": narrow(F.col("quantity"), "int"),
             "discount_part": F.round("discount_part", 4),
         },
         key=("l_orderkey",),

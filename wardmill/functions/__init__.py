@@ -4,9 +4,12 @@ from wardmill.functions.numeric import (
     clip,
     coerce_int,
     correct_by,
+    fit,
+    narrow,
     percent,
     recode,
     to_double,
+    to_int,
     total_of,
 )
 from wardmill.functions.text import code_text, is_blank_code, region_code, strip_text
@@ -18,7 +21,9 @@ __all__ = [
     "code_text",
     "coerce_int",
     "correct_by",
+    "fit",
     "is_blank_code",
+    "narrow",
     "parse_date",
     "percent",
     "recode",
@@ -26,5 +31,6 @@ __all__ = [
     "stay_days",
     "strip_text",
     "to_double",
+    "to_int",
     "total_of",
 ]

@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wardmill.functions.numeric import narrow
+
+# Highest age, and the digits a date can have (the 31st of a short month passes).
 MAX_AGE = 150
+DATE_DIGITS = r"^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])\z"
 
 
 def parse_date(c: Column) -> Column:
-    """Eight digits ``yyyyMMdd`` to a date, null for anything else."""
+    """Eight digits ``yyyyMMdd`` to a date, null for anything else.
+
+    Placeholders such as ``00000000`` are ruled out by pattern, as a failing cast is slow.
+    """
     text = c.cast("string")
     iso = F.concat_ws(
         "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
     )
-    return F.when(text.rlike(r"^[0-9]{8}\z"), iso.try_cast("date"))
+    return F.when(text.rlike(DATE_DIGITS), iso.try_cast("date"))
 
 
 def completed_years(at: Column, born: Column) -> Column:
@@ -40,4 +47,5 @@ def age_years(at: Column, born: Column) -> Column:
 
 def stay_days(start: Column, end: Column) -> Column:
     """Days between two dates, 0 if a date is missing; an end before the start is negative."""
-    return F.coalesce(F.date_diff(end, start).try_cast("smallint"), F.lit(0).cast("smallint"))
+    days = narrow(F.date_diff(end, start), "smallint")
+    return F.coalesce(days, F.lit(0).cast("smallint"))

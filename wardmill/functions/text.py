@@ -39,6 +39,7 @@ def region_code(c: Column) -> Column:
     text = F.coalesce(strip_text(c), F.lit(UNKNOWN_REGION))
     text = F.when(text.startswith(DISTRICT_PREFIX), F.lit(DISTRICT_CODE)).otherwise(text)
     padded = F.lpad(F.substring(text, 1, REGION_WIDTH), REGION_WIDTH, "0")
-    # A sign would have to be negative or redundant, and both end as a plain code or 0.
-    digits = F.when(padded.rlike(r"^[+0-9][0-9]*\z"), padded.try_cast("bigint"))
-    return F.coalesce(digits, F.lit(0).cast("bigint"))
+    # Anything but digits, a negative code included, ends as 0. Extracting instead of testing
+    # and casting evaluates the chain above once.
+    digits = F.nullif(F.regexp_extract(padded, r"^\+?([0-9]+)\z", 1), F.lit(""))
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))

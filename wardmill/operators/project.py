@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardmill.functions.numeric import fit
+
 
 def apply_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Replace the named columns where present, in one projection."""
@@ -47,7 +49,8 @@ def conform(df: DataFrame, schema: T.StructType, fill_missing: bool = False) ->
     out = []
     for field in schema.fields:
         if field.name in present:
-            out.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
+            held = df.schema[field.name].dataType
+            out.append(fit(F.col(field.name), held, field.dataType).alias(field.name))
         elif fill_missing:
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
     return df.select(*out)

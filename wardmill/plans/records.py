@@ -19,6 +19,7 @@ from wardmill.functions import (
     region_code,
     stay_days,
     to_double,
+    to_int,
     total_of,
 )
 from wardmill.operators.contract import contract
@@ -111,15 +112,15 @@ def type_only(raw: DataFrame) -> DataFrame:
     frame = ensure_columns(raw, {"VAL_UTI": F.lit("0")})
     rules = {n: to_double(F.col(n)) for n in MONEY}
     rules.update({n: parse_date(F.col(n)) for n in DATES})
-    rules["NACIONAL"] = F.col("NACIONAL").try_cast("smallint")
-    rules["NUM_FILHOS"] = F.col("NUM_FILHOS").try_cast("tinyint")
-    rules["ETNIA"] = F.col("ETNIA").try_cast("tinyint")
+    rules["NACIONAL"] = to_int(F.col("NACIONAL"), "smallint")
+    rules["NUM_FILHOS"] = to_int(F.col("NUM_FILHOS"), "tinyint")
+    rules["ETNIA"] = to_int(F.col("ETNIA"), "tinyint")
     return apply_rules(frame, {n: rule for n, rule in rules.items() if n in frame.columns})
 
 
 def unidentified(raw: DataFrame) -> DataFrame:
     """Raw rows whose case id cannot be read; ``treat`` files them under id 0."""
-    return raw.where(F.col("N_AIH").try_cast("bigint").isNull())
+    return raw.where(to_int(F.col("N_AIH"), "bigint").isNull())
 
 
 def contract_records(treated: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.functions import is_blank_code, strip_text
+from wardmill.functions import is_blank_code, narrow, strip_text, to_int
 from wardmill.operators.extract import (
     Satellite,
     extract,
@@ -36,9 +36,9 @@ def satellites() -> dict[str, Satellite]:
             TABLES["uti_detalhes"].schema.names,
             where=c("VAL_UTI") > 0,
             rules={
-                "UTI_MES_TO": c("UTI_MES_TO").try_cast("int"),
-                "UTI_INT_TO": c("UTI_INT_TO").try_cast("int"),
-                "VAL_UTI": c("VAL_UTI").try_cast("double"),
+                "UTI_MES_TO": narrow(c("UTI_MES_TO"), "int"),
+                "UTI_INT_TO": narrow(c("UTI_INT_TO"), "int"),
+                "VAL_UTI": c("VAL_UTI").cast("double"),
             },
             **one_per_case,
         ),
@@ -56,7 +56,7 @@ def satellites() -> dict[str, Satellite]:
             "instrucao",
             (CASE, "INSTRU"),
             where=c("INSTRU").isNotNull() & (c("INSTRU") != 0),
-            rules={"INSTRU": c("INSTRU").try_cast("tinyint")},
+            rules={"INSTRU": narrow(c("INSTRU"), "tinyint")},
             **one_per_case,
         ),
         Satellite("mortes", (CASE, "CID_MORTE"), where=c("MORTE") == "1", **one_per_case),
@@ -64,7 +64,7 @@ def satellites() -> dict[str, Satellite]:
             "infehosp",
             (CASE, "INFEHOSP"),
             where=c("INFEHOSP") == 1,
-            rules={"INFEHOSP": F.coalesce(c("INFEHOSP").try_cast("int"), F.lit(0))},
+            rules={"INFEHOSP": F.coalesce(to_int(c("INFEHOSP"), "int"), F.lit(0))},
             **one_per_case,
         ),
         Satellite(
@@ -78,14 +78,14 @@ def satellites() -> dict[str, Satellite]:
             "cbor",
             (CASE, "CBOR"),
             where=c("CBOR") > 0,
-            rules={"CBOR": F.coalesce(c("CBOR").try_cast("int"), F.lit(0))},
+            rules={"CBOR": F.coalesce(narrow(c("CBOR"), "int"), F.lit(0))},
             **one_per_case,
         ),
         Satellite(
             "etnia",
             (CASE, "ETNIA"),
             where=(c("RACA_COR") == INDIGENOUS) & (c("ETNIA") > 0),
-            rules={"ETNIA": c("ETNIA").try_cast("int")},
+            rules={"ETNIA": narrow(c("ETNIA"), "int")},
             dedup="rows",
         ),
         Satellite(
