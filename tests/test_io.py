@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from wardmill.operators.keys import orphan_keys
 from wardmill.plans.model import TABLES
 from wardmill.plans.records import COLUMNS
 from wardmill.plans.workflow import Layout, audit_stage, run_all
@@ -158,7 +159,8 @@ def test_load_all_skips_empty_and_numbers_rows(spark, tmp_path):
     loaded = W.load_all(tables, W.parquet_writer(str(tmp_path)))
     assert loaded == {"atendimentos": 3, "pernoite": 1}
     rows = spark.read.parquet(f"{tmp_path}/atendimentos").orderBy("id_atendimento").collect()
-    assert [tuple(r) for r in rows] == [(1, 1, 7), (2, 1, 7), (3, 2, 7)]
+    assert [r.id_atendimento for r in rows] == [1, 2, 3]
+    assert sorted((r.N_AIH, r.PROC_REA) for r in rows) == [(1, 7), (1, 7), (2, 7)]
     assert tuple(spark.read.parquet(f"{tmp_path}/pernoite").first()) == (1, 2)
 
 
@@ -171,6 +173,27 @@ def test_catalog_writer(spark):
     assert spark.table("ward.cid10").count() == 2
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ward")
+    fact = spark.range(50).select(F.col("id").alias("N_AIH"))
+    tables = {"internacoes": fact, "cbor": fact.select("N_AIH", F.lit(5).alias("CBOR"))}
+    assert W.load_all(tables, W.catalog_writer("ward", buckets=4)) == {
+        "internacoes": 50,
+        "cbor": 50,
+    }
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orphans = orphan_keys(
+            spark.table("ward.cbor"), "N_AIH", spark.table("ward.internacoes"), "N_AIH"
+        )
+        plan = orphans._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+        assert orphans.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_row_totals(spark):
     counts = W.with_total(W.table_rows({"a": spark.range(3), "b": spark.range(4)}))
     assert {r.table_name: r.rows for r in counts.collect()} == {"a": 3, "b": 4, "total": 7}

@@ -119,18 +119,30 @@ def test_extract_skips_the_shuffle_on_unique_input(spark):
 
 def test_number_rows_is_dense_and_ordered(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v")).repartition(6)
-    out = K.number_rows(df, ["v"], "n", partitions=7)
+    out = K.number_rows(df, "n", ["v"], partitions=7)
     assert out.where("n != v + 1").count() == 0
     assert out.count() == 5000
 
 
-def test_number_rows_spreads_a_hot_value(spark):
-    df = spark.range(3000).select(
-        F.when(F.col("id") < 1000, 1).otherwise(F.col("id")).alias("v"), F.col("id").alias("w")
-    )
-    out = K.number_rows(df, ["v", "w"], "n", partitions=6)
+@pytest.mark.parametrize("order", [(), ("v",)])
+def test_number_rows_with_copies_of_one_row(spark, order):
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, 1).otherwise(F.col("id")).alias("v"))
+    out = K.number_rows(df, "n", order, partitions=6)
     stats = out.agg(F.count("n"), F.countDistinct("n"), F.min("n"), F.max("n")).first()
     assert tuple(stats) == (3000, 3000, 1, 3000)
+    assert out.where("v = 1").count() == 1000
+
+
+def test_contract_with_a_hot_key(spark):
+    df = spark.range(30000).select(
+        F.when(F.col("id") < 10000, 0).otherwise(F.col("id")).alias("k"),
+        F.col("id").cast("double").alias("v"),
+        (-F.col("id")).alias("o"),
+    )
+    out = contract(df.repartition(6), ["k"], sums=["v"], order=[F.col("o")])
+    assert out.count() == 20001
+    hot = out.where("k = 0").first()
+    assert (hot.v, hot.o) == (sum(range(10000)), -9999)
 
 
 def test_values_at_ranks_against_sorting(spark):

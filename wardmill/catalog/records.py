@@ -232,10 +232,12 @@ SELECT {_columns_sql(_DERIVED)} FROM (
     SELECT t.*, {", ".join(f"f.{c}" for c in _CARRIED)}
     FROM (SELECT N_AIH, {", ".join(f"sum({c}) AS {c}" for c in _SUMMED)},
                  {", ".join(f"avg({c}) AS {c}" for c in _MEANS)}
-          FROM ({TREATED_SQL}) GROUP BY N_AIH) t
+          FROM treated GROUP BY N_AIH) t
     JOIN (SELECT *, row_number() OVER (PARTITION BY N_AIH ORDER BY {", ".join(_RANKED)}) AS rn
-          FROM ({TREATED_SQL})) f
+          FROM treated) f
       ON f.N_AIH = t.N_AIH AND f.rn = 1)"""
+STAGES_SQL = f"""WITH treated AS MATERIALIZED ({TREATED_SQL}),
+contracted AS MATERIALIZED ({CONTRACTED_SQL})"""
 
 
 def _stages(spark, sf_dir):
@@ -249,41 +251,41 @@ def contracted_records(spark, sf_dir):
 
 QUERIES["contract_records"] = contracted_records
 ORACLE["contract_records"] = (
-    f"SELECT {_rounded_sql(COLUMNS, (*_MONEY, *_MEANS))} FROM ({CONTRACTED_SQL})"
+    f"{STAGES_SQL} SELECT {_rounded_sql(COLUMNS, (*_MONEY, *_MEANS))} FROM contracted"
 )
 
 # The star tables, written as SQL over the contracted records.
 STAR_SQL = {
-    FACT: f"SELECT {', '.join(FACT_COLUMNS)} FROM ({CONTRACTED_SQL})",
+    FACT: f"SELECT {', '.join(FACT_COLUMNS)} FROM contracted",
     "uti_detalhes": f"""SELECT N_AIH, CAST(trunc(UTI_MES_TO) AS INTEGER) AS UTI_MES_TO, MARCA_UTI,
         CAST(trunc(UTI_INT_TO) AS INTEGER) AS UTI_INT_TO, VAL_UTI
-        FROM ({CONTRACTED_SQL}) WHERE VAL_UTI > 0""",
-    "condicoes_especificas": f"SELECT N_AIH, IND_VDRL FROM ({CONTRACTED_SQL}) WHERE IND_VDRL = '1'",
+        FROM contracted WHERE VAL_UTI > 0""",
+    "condicoes_especificas": f"SELECT N_AIH, IND_VDRL FROM contracted WHERE IND_VDRL = '1'",
     "obstetricos": f"""SELECT N_AIH, INSC_PN FROM (
-        SELECT N_AIH, {sql_strip("INSC_PN")} AS INSC_PN FROM ({CONTRACTED_SQL}))
+        SELECT N_AIH, {sql_strip("INSC_PN")} AS INSC_PN FROM contracted)
         WHERE NOT regexp_full_match(INSC_PN, '0*')""",
-    "instrucao": f"SELECT N_AIH, INSTRU FROM ({CONTRACTED_SQL}) WHERE INSTRU <> 0",
-    "mortes": f"SELECT N_AIH, CID_MORTE FROM ({CONTRACTED_SQL}) WHERE MORTE = '1'",
+    "instrucao": f"SELECT N_AIH, INSTRU FROM contracted WHERE INSTRU <> 0",
+    "mortes": f"SELECT N_AIH, CID_MORTE FROM contracted WHERE MORTE = '1'",
     "infehosp": f"""SELECT N_AIH, INFEHOSP FROM (
         SELECT N_AIH, CAST({sql_int("INFEHOSP", "INTEGER")} AS INTEGER) AS INFEHOSP
-        FROM ({CONTRACTED_SQL})) WHERE INFEHOSP = 1""",
+        FROM contracted) WHERE INFEHOSP = 1""",
     "vincprev": f"""SELECT N_AIH, VINCPREV FROM (
-        SELECT N_AIH, upper({sql_strip("VINCPREV")}) AS VINCPREV FROM ({CONTRACTED_SQL}))
+        SELECT N_AIH, upper({sql_strip("VINCPREV")}) AS VINCPREV FROM contracted)
         WHERE NOT regexp_full_match(VINCPREV, '0*')""",
-    "cbor": f"SELECT N_AIH, CBOR FROM ({CONTRACTED_SQL}) WHERE CBOR > 0",
-    "etnia": f"""SELECT DISTINCT N_AIH, CAST(ETNIA AS INTEGER) AS ETNIA FROM ({CONTRACTED_SQL})
+    "cbor": f"SELECT N_AIH, CBOR FROM contracted WHERE CBOR > 0",
+    "etnia": f"""SELECT DISTINCT N_AIH, CAST(ETNIA AS INTEGER) AS ETNIA FROM contracted
         WHERE RACA_COR = 5 AND ETNIA > 0""",
-    "notificacoes": f"SELECT N_AIH, CID_NOTIF FROM ({CONTRACTED_SQL}) WHERE CID_NOTIF <> '0'",
-    "pernoite": f"SELECT N_AIH, DIAR_ACOM FROM ({CONTRACTED_SQL}) WHERE DIAR_ACOM > 0",
-    "diagnosticos": f"""SELECT DISTINCT N_AIH, DIAG_SECUN FROM ({CONTRACTED_SQL})
+    "notificacoes": f"SELECT N_AIH, CID_NOTIF FROM contracted WHERE CID_NOTIF <> '0'",
+    "pernoite": f"SELECT N_AIH, DIAR_ACOM FROM contracted WHERE DIAR_ACOM > 0",
+    "diagnosticos": f"""SELECT DISTINCT N_AIH, DIAG_SECUN FROM contracted
         WHERE NOT starts_with(DIAG_SECUN, '0')""",
     "contraceptivos": " UNION ALL ".join(
-        f"SELECT N_AIH, '{c}' AS TIPO, {c} AS CODIGO_METODO FROM ({CONTRACTED_SQL}) "
+        f"SELECT N_AIH, '{c}' AS TIPO, {c} AS CODIGO_METODO FROM contracted "
         f"WHERE {c} <> '00'"
         for c in ("CONTRACEP1", "CONTRACEP2")
     ),
-    "hospital": mode_sql("CNES", HOSPITAL_ATTRIBUTES, f"({CONTRACTED_SQL})"),
-    "atendimentos": f"SELECT N_AIH, PROC_REA FROM ({TREATED_SQL})",
+    "hospital": mode_sql("CNES", HOSPITAL_ATTRIBUTES, f"contracted"),
+    "atendimentos": f"SELECT N_AIH, PROC_REA FROM treated",
 }
 
 
@@ -302,9 +304,9 @@ for _name, _sql in STAR_SQL.items():
     }.get(_name)
     QUERIES[f"star_{_name}"] = _star_query(_name)
     ORACLE[f"star_{_name}"] = (
-        _sql
+        f"{STAGES_SQL} {_sql}"
         if _columns is None
-        else f"SELECT {_rounded_sql(_columns, (*_MONEY, 'DIAR_ACOM'))} FROM ({_sql})"
+        else f"{STAGES_SQL} SELECT {_rounded_sql(_columns, (*_MONEY, 'DIAR_ACOM'))} FROM ({_sql})"
     )
 
 # Lookup tables from the given ones, so that some references resolve and some do not.
@@ -346,17 +348,17 @@ def star_audit(spark, sf_dir):
     return audit(star_schema(spark, sf_dir), declared_checks())
 
 
-def _loaded_sql(name: str) -> str:
-    if name in LOOKUPS:
-        source, columns = LOOKUPS[name]
-        return f"({derive_sql(columns, source)})"
-    return f"({STAR_SQL[name]})"
+def _loaded_sql() -> str:
+    """Every star and lookup table as a named intermediate result."""
+    tables = dict(STAR_SQL)
+    tables.update({n: derive_sql(columns, source) for n, (source, columns) in LOOKUPS.items()})
+    return ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in tables.items())
 
 
 def _rows_check(name, table_name, column, condition):
     return (
         f"SELECT '{name}' AS check_name, '{table_name}' AS table_name, '{column}' AS column_name, "
-        f"count(*) AS violations, count(*) = 0 AS passed FROM {_loaded_sql(table_name)} x "
+        f"count(*) AS violations, count(*) = 0 AS passed FROM {table_name} x "
         f"WHERE {condition}"
     )
 
@@ -365,7 +367,7 @@ def _keys_check(name, table_name, column, key, having):
     return (
         f"SELECT '{name}' AS check_name, '{table_name}' AS table_name, '{column}' AS column_name, "
         f"count(*) AS violations, count(*) = 0 AS passed FROM (SELECT {key} "
-        f"FROM {_loaded_sql(table_name)} x WHERE {key} IS NOT NULL GROUP BY {key} HAVING {having})"
+        f"FROM {table_name} x WHERE {key} IS NOT NULL GROUP BY {key} HAVING {having})"
     )
 
 
@@ -417,7 +419,7 @@ def _audit_sql() -> str:
             "relationships",
             t,
             c,
-            f"x.{c} IS NOT NULL AND x.{c} NOT IN (SELECT {pc} FROM {_loaded_sql(pt)} p)",
+            f"x.{c} IS NOT NULL AND x.{c} NOT IN (SELECT {pc} FROM {pt} p)",
         )
         for t, c, pt, pc in RELATIONSHIPS
     ]
@@ -430,7 +432,7 @@ def _audit_sql() -> str:
             f"count(DISTINCT MUNIC_MOV) > {TOWNS_PER_HOSPITAL}",
         )
     )
-    return " UNION ALL ".join(parts)
+    return f"{STAGES_SQL}, {_loaded_sql()} " + " UNION ALL ".join(parts)
 
 
 QUERIES["star_audit"] = star_audit

@@ -176,7 +176,7 @@ NUMBERED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedp
 
 def surrogate_key(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(*NUMBERED)
-    return number_rows(lines, NUMBERED, "row_id")
+    return number_rows(lines, "row_id", order=NUMBERED)
 
 
 QUERIES["surrogate_key"] = surrogate_key

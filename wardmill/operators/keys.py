@@ -25,12 +25,15 @@ def orphan_counts(
     pk: str | Sequence[str],
     count_name: str = "occurrences",
 ) -> DataFrame:
-    """Child key values without a parent, with their number of rows; null keys are ignored."""
+    """Child key values without a parent, with their number of rows; null keys are ignored.
+
+    Both sides enter the join aggregated by key, on the partitioning the join needs.
+    """
     fk, pk = _names(fk), _names(pk)
     counted = (
         child.select(*fk).dropna(how="any").groupBy(*fk).agg(F.count("*").alias(count_name))
     )
-    parents = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)])
+    parents = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)]).distinct()
     on = [counted[f] == parents[f"_p{i}"] for i, f in enumerate(fk)]
     return counted.join(parents, on, "left_anti")
 
@@ -53,7 +56,11 @@ def orphan_frequency(
 def keep_children(
     child: DataFrame, fk: str | Sequence[str], parent: DataFrame, pk: str | Sequence[str]
 ) -> DataFrame:
-    """Child rows whose parent still exists (what ``ON DELETE CASCADE`` leaves)."""
+    """Child rows whose parent still exists (what ``ON DELETE CASCADE`` leaves).
+
+    Parent keys are unique. Whole child rows are joined, so a hot key is left to adaptive
+    execution, which splits its partition; that needs plain shuffles under the join.
+    """
     fk, pk = _names(fk), _names(pk)
     parents = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)])
     return child.join(parents, [child[f] == parents[f"_p{i}"] for i, f in enumerate(fk)], "left_semi")
@@ -65,8 +72,8 @@ def missing_values(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def new_keys(listed: DataFrame, present: DataFrame, key: str) -> DataFrame:
-    """Listed entries whose key is not present yet."""
-    return listed.join(present.select(key), key, "left_anti")
+    """Listed entries whose key is not present yet; repeats of a present key are dropped first."""
+    return listed.join(present.select(key).distinct(), key, "left_anti")
 
 
 def _partition_offsets(placed: DataFrame, size: Column) -> DataFrame:
@@ -81,30 +88,36 @@ def _partition_offsets(placed: DataFrame, size: Column) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None
+    df: DataFrame, name: str, order: Sequence[str] = (), partitions: int | None = None
 ) -> DataFrame:
-    """Gap-free ids 1..n in the given order, without moving the table through one task.
+    """Gap-free ids 1..n without moving the table through one task.
 
-    Rows are range-partitioned and sorted, staged once so that partition numbers stay fixed,
-    and each partition's start is the sum of the sizes before it.
+    Rows are numbered where they are: each partition counts its own rows, the numbered rows are
+    written once so that the numbers stay, and a partition starts after the sizes before it.
+
+    With ``order`` the rows are range-partitioned and sorted first. Equal rows are told apart by
+    a written position, so that many copies of one row are still split over partitions, and
+    split the same way if a task is run again.
     """
-    ranged = (
-        df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    )
-    position = F.monotonically_increasing_id()
+    columns = df.columns
+    if order:
+        tied = stage(df.select("*", F.monotonically_increasing_id().alias("_tie")), "tied")
+        by = [*order, "_tie"]
+        ranged = (
+            tied.repartitionByRange(partitions, *by) if partitions else tied.repartitionByRange(*by)
+        )
+        df = ranged.sortWithinPartitions(*by)
+    # The id holds the partition number above its lower 33 bits.
+    position = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33))
     placed = stage(
-        ranged.sortWithinPartitions(*order).select(
-            "*",
-            F.spark_partition_id().alias("_part"),
-            F.pmod(position, F.lit(1 << 33)).alias("_pos"),
-        ),
+        df.select(*columns, F.spark_partition_id().alias("_part"), position.alias("_pos")),
         "numbered",
     )
     offsets = _partition_offsets(placed, F.count("*"))
-    # One row per range partition: its size is set by the shuffle, not by the data.
+    # One row per partition: its size is set by the number of tasks, not by the data.
     joined = placed.join(F.broadcast(offsets), "_part")
     return joined.select(
-        (F.col("_before") + F.col("_pos") + 1).cast("bigint").alias(name), *df.columns
+        (F.col("_before") + F.col("_pos") + 1).cast("bigint").alias(name), *columns
     )
 
 

@@ -50,10 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back, which cuts the lineage.
 
-    A written table keeps column pruning for its readers and survives lost executors.
+    A written table keeps column pruning for its readers and survives lost executors. The
+    tables of one application share a folder, which can be dropped when it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark).rstrip('/')}/wardmill-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

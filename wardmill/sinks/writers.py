@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wardmill.operators.keys import number_rows
 from wardmill.operators.project import conform
-from wardmill.plans.model import TABLES, load_order, relational_columns
+from wardmill.plans.model import CASE, TABLES, load_order, relational_columns
 
 COMPRESSION = "snappy"
 POINTER = "_versions"
@@ -68,7 +68,7 @@ def prepare(df: DataFrame, table: str) -> DataFrame:
     """Rows in the declared columns and types, with the generated id where there is one."""
     spec = TABLES[table]
     if spec.generated_id and spec.generated_id not in df.columns:
-        df = number_rows(df, df.columns, spec.generated_id)
+        df = number_rows(df, spec.generated_id)
     return conform(df, spec.schema, fill_missing=True)
 
 
@@ -89,13 +89,25 @@ def parquet_writer(root: str):
     return lambda name, df: write_parquet(df, f"{root}/{name}")
 
 
-def catalog_writer(database: str):
-    """Managed tables of a catalog database."""
+def catalog_writer(database: str, buckets: int | None = None):
+    """Managed tables of a catalog database.
+
+    With ``buckets``, tables that are unique on the case id are bucketed by it, so that their
+    key checks and joins need no shuffle. Tables that repeat an id are not: one bucket would
+    have to hold every row of a hot id.
+    """
 
     def write(name: str, df: DataFrame) -> int:
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        writer = (
+            df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite")
+            .format("parquet")
+            .option("compression", COMPRESSION)
+        )
+        if buckets and TABLES[name].primary_key == (CASE,):
+            writer = writer.bucketBy(buckets, CASE).sortBy(CASE)
+        writer.saveAsTable(f"{database}.{name}")
         return seen.get["rows"]
 
     return write

@@ -60,6 +60,9 @@ def _schema_of(spark: SparkSession, path: str) -> T.StructType | None:
 def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> Ingest:
     """Read files whose columns and types differ into one canonical text table.
 
+    A file without a readable footer is left out and listed; one that breaks off later fails
+    the job, so that no rows go missing unseen.
+
     Only footers pass through the driver. Files with equal schemas are read by one scan, so
     the plan grows with the number of distinct schemas and not with the number of files. One
     scan cannot hold an integer and a text column of the same name, hence the grouping.
@@ -76,10 +79,7 @@ def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Sequence[s
     if not groups:
         raise FileNotFoundError("no readable file among those listed")
     frames = [
-        as_text(
-            spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*members),
-            columns,
-        )
+        as_text(spark.read.schema(schema).parquet(*members), columns)
         for schema, members in groups.values()
     ]
     read = [p for _, members in groups.values() for p in members]
