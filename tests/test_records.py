@@ -197,7 +197,7 @@ def test_relational_types():
 
 def test_satellite_rules_read_text_or_numbers(spark):
     from wardmill.operators.extract import extract
-    from wardmill.plans.star import satellites
+    from wardmill.plans.star import SATELLITES
 
     df = spark.createDataFrame([(1, "1"), (2, None), (3, "x")], "N_AIH bigint, INFEHOSP string")
-    assert [tuple(r) for r in extract(df, satellites()["infehosp"]).collect()] == [(1, 1)]
+    assert [tuple(r) for r in extract(df, SATELLITES["infehosp"]()).collect()] == [(1, 1)]

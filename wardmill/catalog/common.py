@@ -19,10 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Billing lines spread over the cores, for work that is heavy per row."""
-    rows = table(spark, sf_dir, "lineitem")
-    return spread(rows.select(*columns) if columns else rows)
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
 
 
 def derive(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

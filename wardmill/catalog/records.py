@@ -28,7 +28,7 @@ from wardmill.operators.project import as_text, conform
 from wardmill.plans.audit import audit, declared_checks
 from wardmill.plans.model import FACT, TABLES
 from wardmill.plans.records import COLUMNS, CODES, contract_records, treat, type_only, unidentified
-from wardmill.plans.star import FACT_COLUMNS, HOSPITAL_ATTRIBUTES, star_tables
+from wardmill.plans.star import FACT_COLUMNS, HOSPITAL_ATTRIBUTES, star_table, star_tables
 from wardmill.session import stage
 
 QUERIES = {}
@@ -291,7 +291,7 @@ STAR_SQL = {
 
 def _star_query(name):
     def query(spark, sf_dir):
-        return _money_rounded(star_tables(*_stages(spark, sf_dir))[name])
+        return _money_rounded(star_table(name, *_stages(spark, sf_dir)))
 
     return query
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.functions import is_blank_code, narrow, strip_text, to_int
+from wardmill.functions import coerce_int, is_blank_code, narrow, strip_text
 from wardmill.operators.extract import (
     Satellite,
     extract,
@@ -25,85 +27,65 @@ HOSPITAL_ATTRIBUTES = ("NATUREZA", "GESTAO", "NAT_JUR")
 METHODS = ("CONTRACEP1", "CONTRACEP2")
 
 
-def satellites() -> dict[str, Satellite]:
-    """Extraction specs by table; built on call because columns need a running session."""
-    c = F.col
-    one_per_case = {"dedup": "first", "key": (CASE,)}
-    specs = (
-        Satellite(FACT, FACT_COLUMNS),
-        Satellite(
-            "uti_detalhes",
-            TABLES["uti_detalhes"].schema.names,
-            where=c("VAL_UTI") > 0,
-            rules={
-                "UTI_MES_TO": narrow(c("UTI_MES_TO"), "int"),
-                "UTI_INT_TO": narrow(c("UTI_INT_TO"), "int"),
-                "VAL_UTI": c("VAL_UTI").cast("double"),
-            },
-            **one_per_case,
-        ),
-        Satellite(
-            "condicoes_especificas", (CASE, "IND_VDRL"), where=c("IND_VDRL") == "1", **one_per_case
-        ),
-        Satellite(
-            "obstetricos",
-            (CASE, "INSC_PN"),
-            where=~is_blank_code(c("INSC_PN")),
-            rules={"INSC_PN": strip_text(c("INSC_PN"))},
-            **one_per_case,
-        ),
-        Satellite(
-            "instrucao",
-            (CASE, "INSTRU"),
-            where=c("INSTRU").isNotNull() & (c("INSTRU") != 0),
-            rules={"INSTRU": narrow(c("INSTRU"), "tinyint")},
-            **one_per_case,
-        ),
-        Satellite("mortes", (CASE, "CID_MORTE"), where=c("MORTE") == "1", **one_per_case),
-        Satellite(
-            "infehosp",
-            (CASE, "INFEHOSP"),
-            where=c("INFEHOSP") == 1,
-            rules={"INFEHOSP": F.coalesce(to_int(c("INFEHOSP"), "int"), F.lit(0))},
-            **one_per_case,
-        ),
-        Satellite(
-            "vincprev",
-            (CASE, "VINCPREV"),
-            where=~is_blank_code(c("VINCPREV")),
-            rules={"VINCPREV": F.upper(strip_text(c("VINCPREV")))},
-            **one_per_case,
-        ),
-        Satellite(
-            "cbor",
-            (CASE, "CBOR"),
-            where=c("CBOR") > 0,
-            rules={"CBOR": F.coalesce(narrow(c("CBOR"), "int"), F.lit(0))},
-            **one_per_case,
-        ),
-        Satellite(
-            "etnia",
-            (CASE, "ETNIA"),
-            where=(c("RACA_COR") == INDIGENOUS) & (c("ETNIA") > 0),
-            rules={"ETNIA": narrow(c("ETNIA"), "int")},
-            dedup="rows",
-        ),
-        Satellite(
-            "notificacoes",
-            (CASE, "CID_NOTIF"),
-            where=c("CID_NOTIF").isNotNull() & (c("CID_NOTIF") != "0"),
-            **one_per_case,
-        ),
-        Satellite("pernoite", (CASE, "DIAR_ACOM"), where=c("DIAR_ACOM") > 0),
-        Satellite(
-            "diagnosticos",
-            (CASE, "DIAG_SECUN"),
-            # A code with a leading zero is a placeholder, whatever follows.
-            where=c("DIAG_SECUN").isNotNull() & ~c("DIAG_SECUN").startswith("0"),
-            dedup="rows",
-        ),
+def _one_per_case(table: str, column: str, where: Column, rule: Column | None = None) -> Satellite:
+    """Case id and one column, first row per case."""
+    rules = {} if rule is None else {column: rule}
+    return Satellite(table, (CASE, column), where, rules, key=(CASE,), dedup="first")
+
+
+def _intensive_care() -> Satellite:
+    names = ("UTI_MES_TO", "UTI_INT_TO")
+    rules = {n: narrow(F.col(n), "int") for n in names}
+    return Satellite(
+        "uti_detalhes",
+        tuple(TABLES["uti_detalhes"].schema.names),
+        F.col("VAL_UTI") > 0,
+        {**rules, "VAL_UTI": F.col("VAL_UTI").cast("double")},
+        key=(CASE,),
+        dedup="first",
     )
-    return {spec.table: spec for spec in specs}
+
+
+def _code(table: str, column: str, text: Column) -> Satellite:
+    return _one_per_case(table, column, ~is_blank_code(F.col(column)), text)
+
+
+# Extraction specs by table, built on demand because columns need a running session.
+SATELLITES: dict[str, Callable[[], Satellite]] = {
+    FACT: lambda: Satellite(FACT, FACT_COLUMNS),
+    "uti_detalhes": _intensive_care,
+    "condicoes_especificas": lambda: _one_per_case(
+        "condicoes_especificas", "IND_VDRL", F.col("IND_VDRL") == "1"
+    ),
+    "obstetricos": lambda: _code("obstetricos", "INSC_PN", strip_text(F.col("INSC_PN"))),
+    "instrucao": lambda: _one_per_case(
+        "instrucao", "INSTRU", F.col("INSTRU") != 0, narrow(F.col("INSTRU"), "tinyint")
+    ),
+    "mortes": lambda: _one_per_case("mortes", "CID_MORTE", F.col("MORTE") == "1"),
+    "infehosp": lambda: _one_per_case(
+        "infehosp", "INFEHOSP", F.col("INFEHOSP") == 1, coerce_int(F.col("INFEHOSP"), "int")
+    ),
+    "vincprev": lambda: _code("vincprev", "VINCPREV", F.upper(strip_text(F.col("VINCPREV")))),
+    "cbor": lambda: _one_per_case("cbor", "CBOR", F.col("CBOR") > 0, narrow(F.col("CBOR"), "int")),
+    "etnia": lambda: Satellite(
+        "etnia",
+        (CASE, "ETNIA"),
+        (F.col("RACA_COR") == INDIGENOUS) & (F.col("ETNIA") > 0),
+        {"ETNIA": narrow(F.col("ETNIA"), "int")},
+        dedup="rows",
+    ),
+    "notificacoes": lambda: _one_per_case(
+        "notificacoes", "CID_NOTIF", F.col("CID_NOTIF") != "0"
+    ),
+    "pernoite": lambda: Satellite("pernoite", (CASE, "DIAR_ACOM"), F.col("DIAR_ACOM") > 0),
+    # A code with a leading zero is a placeholder, whatever follows.
+    "diagnosticos": lambda: Satellite(
+        "diagnosticos",
+        (CASE, "DIAG_SECUN"),
+        ~F.col("DIAG_SECUN").startswith("0"),
+        dedup="rows",
+    ),
+}
 
 
 def contraceptives(contracted: DataFrame) -> DataFrame:
@@ -121,22 +103,25 @@ def services(treated: DataFrame) -> DataFrame:
     return treated.select(CASE, "PROC_REA")
 
 
+def star_table(name: str, treated: DataFrame, contracted: DataFrame) -> DataFrame:
+    """One table made from the records. ``contracted`` is unique on the case id."""
+    if name == "contraceptivos":
+        return contraceptives(contracted)
+    if name == "hospital":
+        return hospitals(contracted)
+    if name == "atendimentos":
+        return services(treated)
+    return extract(contracted, SATELLITES[name](), unique_on=(CASE,))
+
+
+# The tables made from the records, in the order they are made.
+STAR = (
+    "internacoes", "uti_detalhes", "condicoes_especificas", "hospital", "obstetricos",
+    "instrucao", "mortes", "infehosp", "vincprev", "cbor", "contraceptivos", "etnia",
+    "notificacoes", "pernoite", "diagnosticos", "atendimentos",
+)
+
+
 def star_tables(treated: DataFrame, contracted: DataFrame) -> dict[str, DataFrame]:
-    """The 16 tables made from the records. ``contracted`` is unique on the case id."""
-    tables = {
-        name: extract(contracted, spec, unique_on=(CASE,)) for name, spec in satellites().items()
-    }
-    tables["contraceptivos"] = contraceptives(contracted)
-    tables["hospital"] = hospitals(contracted)
-    tables["atendimentos"] = services(treated)
-    return tables
-
-
-__all__ = [
-    "FACT_COLUMNS",
-    "contraceptives",
-    "hospitals",
-    "satellites",
-    "services",
-    "star_tables",
-]
+    """The 16 tables made from the records."""
+    return {name: star_table(name, treated, contracted) for name in STAR}

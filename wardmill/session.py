@@ -60,11 +60,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *by: str) -> DataFrame:
     """Share rows out if the scan has fewer tasks than there are cores.
 
     A file is split by its row groups, so a small table may be one task. A table with enough
-    row groups is left as it is, without a shuffle.
+    row groups is left as it is, without a shuffle. ``by`` names columns to spread by, which
+    saves the sort that an even distribution needs to be repeatable.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
