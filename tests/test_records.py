@@ -7,6 +7,7 @@ from wardmill.plans import audit as A
 from wardmill.plans import records as R
 from wardmill.plans.model import TABLES, load_order, relational_columns, relational_type
 from wardmill.plans.star import star_tables
+from wardmill.session import stage
 
 BASE = {
     "N_AIH": "0012", "CNES": "2000001", "PROC_REA": "505020092", "DT_INTER": "20230110",
@@ -21,7 +22,7 @@ BASE = {
 }
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def raw(spark):
     def make(*changes):
         data = [{**BASE, **change} for change in changes]
@@ -101,7 +102,7 @@ def test_contract_records(raw):
     assert (row.NASC, row.IDADE, row.DIAS_PERM) == (None, None, 5)
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def star(raw):
     treated = R.treat(
         raw(
@@ -115,7 +116,8 @@ def star(raw):
              "IND_VDRL": "1"},
         )
     )
-    return star_tables(treated, R.contract_records(treated))
+    treated = stage(treated, "treated")
+    return star_tables(treated, stage(R.contract_records(treated), "contracted"))
 
 
 @pytest.mark.parametrize(
