@@ -221,6 +221,14 @@ def test_dataset_diff_against_all_pairs(spark):
     assert got == {c: (equal[c], pairs - equal[c]) for c in ("v", "t")}
 
 
+def test_dataset_diff_of_a_hot_key_counts_its_pairs(spark):
+    """20,000 copies on each side are 400 million pairs, which must not be built."""
+    a = spark.range(20000).select(F.lit(1).alias("k"), (F.col("id") % 4).alias("v"))
+    b = spark.range(20000).select(F.lit(1).alias("k"), (F.col("id") % 5).alias("v"))
+    row = P.dataset_diff(a.repartition(4), b.repartition(4), ["k"]).first()
+    assert (row.equal, row.different) == (4 * 5000 * 4000, 20000**2 - 4 * 5000 * 4000)
+
+
 def test_dataset_diff_with_unique_keys(spark):
     a = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "k int, t string")
     b = spark.createDataFrame([(1, "x"), (2, None), (4, "y")], "k int, t string")

@@ -10,7 +10,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 SF_DIR = DATA / "sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 # Query families that share one plan shape are covered by one member.
-SLOW_TWINS = [n for n in queries() if n.startswith("star_") and n != "star_audit"]
+SLOW_TWINS = [n for n in queries() if n.startswith("star_") and n != "star_hospital"]
 
 
 @pytest.fixture(scope="module")

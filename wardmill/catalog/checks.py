@@ -15,6 +15,7 @@ from wardmill.catalog.common import (
     table,
 )
 from wardmill.functions.dates import completed_years
+from wardmill.operators.profile import first_rows
 from wardmill.operators.quality import (
     DistinctPerKeyCheck,
     RelationshipCheck,
@@ -152,6 +153,22 @@ FROM (SELECT *, CAST(date_diff('day', admitted, discharged) AS INTEGER) AS compu
 WHERE stay <> computed_stay OR (admitted > born AND age <> computed_age)"""
 
 
+def sample_mismatch(spark, sf_dir):
+    """The first 20 rows whose stored stay is off, in key order."""
+    frame = recompute_mismatch(spark, sf_dir).where(F.col("difference") != 0)
+    return first_rows(frame, [*LINE_KEY, "stay", "computed_stay"], 20).select(
+        *LINE_KEY, "stay", "computed_stay", "difference"
+    )
+
+
+QUERIES["sample_mismatch"] = sample_mismatch
+ORACLE["sample_mismatch"] = f"""
+SELECT {KEY_SQL}, stay, computed_stay, stay - computed_stay AS difference
+FROM (SELECT *, CAST(date_diff('day', admitted, discharged) AS INTEGER) AS computed_stay
+      FROM ({CASES_SQL}))
+WHERE stay <> computed_stay ORDER BY {KEY_SQL}, stay, computed_stay LIMIT 20"""
+
+
 def quality_scorecard(spark, sf_dir):
     tables = {
         "cases": _with_ages(cases(spark, sf_dir)),

@@ -24,12 +24,13 @@ from wardmill.catalog.common import (
     table,
 )
 from wardmill.catalog.shaping import mode_sql
-from wardmill.operators.project import as_text, conform
-from wardmill.plans.audit import audit, declared_checks
-from wardmill.plans.model import FACT, TABLES
+from wardmill.operators.project import as_text
+from wardmill.plans.audit import audit, declared_checks, key_checks, written_checks
+from wardmill.plans.model import FACT, TABLES, load_order
 from wardmill.plans.records import COLUMNS, CODES, contract_records, treat, type_only, unidentified
 from wardmill.plans.star import FACT_COLUMNS, HOSPITAL_ATTRIBUTES, star_table, star_tables
 from wardmill.session import stage
+from wardmill.sinks.writers import prepare
 
 QUERIES = {}
 ORACLE = {}
@@ -331,26 +332,32 @@ LOOKUPS = {
 
 
 def star_schema(spark, sf_dir):
-    """Every table in its declared columns and types; the id of the services is not needed.
+    """Every table as it is loaded: declared columns and types, services with their id.
 
     The treated and contracted records are written once, since every table reads one of them.
     """
     treated = stage(treat(raw_records(spark, sf_dir)), "treated")
-    tables = dict(star_tables(treated, stage(contract_records(treated), "contracted")))
+    tables = star_tables(treated, stage(contract_records(treated), "contracted"))
     for name, (source, columns) in LOOKUPS.items():
         tables[name] = derive(table(spark, sf_dir, source), columns)
-    return {
-        name: conform(df, TABLES[name].schema, fill_missing=True) for name, df in tables.items()
-    }
+    return {name: prepare(df, name) for name, df in tables.items()}
 
 
 def star_audit(spark, sf_dir):
-    return audit(star_schema(spark, sf_dir), declared_checks())
+    return audit(star_schema(spark, sf_dir), declared_checks() + written_checks())
+
+
+def star_key_audit(spark, sf_dir):
+    tables = star_schema(spark, sf_dir)
+    return audit(tables, key_checks(load_order(tables)))
 
 
 def _loaded_sql() -> str:
     """Every star and lookup table as a named intermediate result."""
     tables = dict(STAR_SQL)
+    tables["atendimentos"] = (
+        f"SELECT row_number() OVER () AS id_atendimento, x.* FROM ({tables['atendimentos']}) x"
+    )
     tables.update({n: derive_sql(columns, source) for n, (source, columns) in LOOKUPS.items()})
     return ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in tables.items())
 
@@ -432,8 +439,39 @@ def _audit_sql() -> str:
             f"count(DISTINCT MUNIC_MOV) > {TOWNS_PER_HOSPITAL}",
         )
     )
+    parts.append(_rows_check("positive", FACT, "IDADE", "IDADE <= 0"))
+    return f"{STAGES_SQL}, {_loaded_sql()} " + " UNION ALL ".join(parts)
+
+
+def _key_audit_sql() -> str:
+    names = [n for n in TABLES if n in STAR_SQL or n in LOOKUPS]
+    parts = []
+    for name in names:
+        spec = TABLES[name]
+        key = ", ".join(spec.primary_key)
+        known = " AND ".join(f"{c} IS NOT NULL" for c in spec.primary_key)
+        parts += [_rows_check("not_null", name, c, f"{c} IS NULL") for c in spec.primary_key]
+        parts.append(
+            f"SELECT 'primary_key' AS check_name, '{name}' AS table_name, "
+            f"'{'+'.join(spec.primary_key)}' AS column_name, count(*) AS violations, "
+            f"count(*) = 0 AS passed FROM (SELECT {key} FROM {name} x WHERE {known} "
+            f"GROUP BY {key} HAVING count(*) > 1)"
+        )
+        parts += [_keys_check("unique", name, u[0], u[0], "count(*) > 1") for u in spec.uniques]
+        parts += [
+            _rows_check(
+                "foreign_key",
+                name,
+                r.column,
+                f"x.{r.column} IS NOT NULL AND x.{r.column} NOT IN "
+                f"(SELECT {r.to_column} FROM {r.to_table} p)",
+            )
+            for r in spec.references
+        ]
     return f"{STAGES_SQL}, {_loaded_sql()} " + " UNION ALL ".join(parts)
 
 
 QUERIES["star_audit"] = star_audit
 ORACLE["star_audit"] = _audit_sql()
+QUERIES["star_key_audit"] = star_key_audit
+ORACLE["star_key_audit"] = _key_audit_sql()

@@ -68,6 +68,11 @@ def largest(df: DataFrame, by: str, ties: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(F.desc(by), *[F.asc(t) for t in ties]).limit(n)
 
 
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """A sample to look at: the first ``n`` rows in a stated order, so that it can be repeated."""
+    return df.orderBy(*[F.asc(c) for c in order]).limit(n)
+
+
 def discrepancy(total: Column, parts: Sequence[Column]) -> Column:
     """Stored total less the sum of its components; a missing component counts as 0."""
     return total - reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0.0)) for p in parts])

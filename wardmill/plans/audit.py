@@ -12,6 +12,7 @@ from wardmill.operators.quality import (
     Check,
     DistinctPerKeyCheck,
     RelationshipCheck,
+    RowCheck,
     UniqueCheck,
     accepted_values,
     in_order,
@@ -98,6 +99,11 @@ def fact_checks() -> list[Check]:
     ]
 
 
+def written_checks() -> list[Check]:
+    """What the written contract asks beyond the declared checks: a positive age."""
+    return [RowCheck("positive", FACT, "IDADE", F.col("IDADE") <= 0)]
+
+
 def key_checks(names: Iterable[str] | None = None) -> list[Check]:
     """Primary keys (present and unique), unique columns and references of the model."""
     checks: list[Check] = []
@@ -127,4 +133,4 @@ def audit(tables: Mapping[str, DataFrame], checks: list[Check] | None = None) ->
     return scorecard(tables, usable)
 
 
-__all__ = ["audit", "declared_checks", "fact_checks", "key_checks"]
+__all__ = ["audit", "declared_checks", "fact_checks", "key_checks", "written_checks"]

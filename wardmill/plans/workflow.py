@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from wardmill.operators.profile import completeness
-from wardmill.plans.audit import audit, declared_checks, key_checks
+from wardmill.plans.audit import audit, declared_checks, key_checks, written_checks
 from wardmill.plans.model import TABLES, load_order
 from wardmill.plans.records import COLUMNS, contract_records, treat
 from wardmill.plans.star import star_tables
@@ -111,7 +111,7 @@ def load_stage(spark: SparkSession, at: Layout, write=None) -> dict[str, int]:
 
 def audit_stage(spark: SparkSession, at: Layout) -> DataFrame:
     tables = read_tables(spark, at.loaded)
-    return audit(tables, declared_checks() + key_checks(tables))
+    return audit(tables, declared_checks() + written_checks() + key_checks(tables))
 
 
 def run_all(spark: SparkSession, at: Layout) -> Mapping[str, object]:
