@@ -258,6 +258,8 @@ def test_whole_run(spark, tmp_path):
     assert failing == {
         ("accepted_values", "internacoes", "SEXO"): 1,
         ("date_order", "internacoes", "DT_INTER..DT_SAIDA"): 1,
+        # Born after admission, so the age is 0, which the written contract does not allow.
+        ("positive", "internacoes", "IDADE"): 1,
         ("format", "internacoes", "DIAG_PRINC"): 1,
         ("relationships", "internacoes", "DIAG_PRINC"): 1,
         ("relationships", "internacoes", "MUNIC_RES"): 1,
