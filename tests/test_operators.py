@@ -29,6 +29,19 @@ def test_contract_takes_the_first_row_whole(spark):
     assert rows(out) == [(1, 1, 16.0, 3.0, None, 32.0), (2, 1, 7.0, 4.0, "z", 14.0)]
 
 
+def test_contract_orders_by_names_or_expressions_alike(spark):
+    df = spark.createDataFrame(
+        [(1, 3, "a", 5), (1, 2, "z", 9), (1, 2, "b", 1), (2, None, "q", 4)],
+        "k int, o int, t string, u int",
+    )
+    by_name = contract(df, ["k"], order=["o", "t"])
+    by_expression = contract(df, ["k"], order=[F.col("o"), F.col("t")])
+    assert by_name.columns == df.columns
+    assert rows(by_name) == rows(by_expression) == [(1, 2, "b", 1), (2, None, "q", 4)]
+    # The named columns are not carried a second time.
+    assert "_o0" not in by_name._jdf.queryExecution().executedPlan().toString()
+
+
 def test_contract_sum_of_nothing_is_zero(spark):
     df = spark.createDataFrame([(1, None), (1, None)], "k int, v double")
     assert rows(contract(df, ["k"], sums=["v"])) == [(1, 0.0)]

@@ -48,7 +48,7 @@ def contracted_lines(spark, sf_dir):
         key=("l_orderkey",),
         sums=SUMS,
         means=("quantity",),
-        order=[F.col(c) for c in FIRST],
+        order=FIRST,
     )
 
 
@@ -220,7 +220,7 @@ def dedup_first_line(spark, sf_dir):
         "l_orderkey", *[F.col(c) for c in FIRST_COLUMNS]
     )
     lines = lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
-    return dedup_first(lines, ("l_orderkey",), [F.col(c) for c in FIRST_COLUMNS])
+    return dedup_first(lines, ("l_orderkey",), FIRST_COLUMNS)
 
 
 QUERIES["dedup_first"] = dedup_first_line
@@ -375,7 +375,7 @@ def satellite_code(spark, sf_dir):
         rules={"code": F.upper(F.btrim(code, F.lit(" \t")))},
         key=("l_orderkey",),
         dedup="first",
-        order=(F.col("code"),),
+        order=("code",),
     )
     return extract(lines, spec)
 

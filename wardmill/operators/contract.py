@@ -10,10 +10,21 @@ from pyspark.sql import functions as F
 _FIRST = "_first"
 
 
-def _ordered_row(order: Sequence[Column], columns: Sequence[str]) -> Column:
-    """Struct that sorts by ``order``, then by the carried columns, so ties cannot arise."""
-    lead = [o.alias(f"_o{i}") for i, o in enumerate(order)]
-    return F.struct(*lead, *[F.col(c) for c in columns])
+def _ordered_row(order: Sequence[str | Column], columns: Sequence[str]) -> Column:
+    """Struct that sorts by ``order``, then by the other carried columns, so ties cannot arise.
+
+    A carried column named in ``order`` is moved to the front; only expressions and columns
+    that are not carried take room of their own.
+    """
+    lead, rest = [], list(columns)
+    for i, item in enumerate(order):
+        if isinstance(item, str) and item in rest:
+            lead.append(F.col(item))
+            rest.remove(item)
+        else:
+            value = F.col(item) if isinstance(item, str) else item
+            lead.append(value.alias(f"_o{i}"))
+    return F.struct(*lead, *[F.col(c) for c in rest])
 
 
 def contract(
@@ -21,7 +32,7 @@ def contract(
     key: Sequence[str],
     sums: Sequence[str] = (),
     means: Sequence[str] = (),
-    order: Sequence[Column] = (),
+    order: Sequence[str | Column] = (),
     recomputed: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Collapse ``df`` to one row per key.
@@ -29,7 +40,8 @@ def contract(
     ``sums`` and ``means`` name the aggregated columns, ``recomputed`` holds expressions over
     the contracted row; every other column comes whole from the first row under ``order``,
     nulls included. The minimum over a struct is combined on the map side, so a key that holds
-    much of the table reaches its reducer as one row per map task.
+    much of the table reaches its reducer as one row per map task. Order by column names where
+    possible, expressions are shuffled beside the row.
     """
     recomputed = dict(recomputed or {})
     plain = {*key, *sums, *means, *recomputed}
@@ -46,6 +58,6 @@ def contract(
     return flat.select(*[recomputed[c].alias(c) if c in recomputed else F.col(c) for c in names])
 
 
-def dedup_first(df: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+def dedup_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
     """The first row per key under ``order``."""
     return contract(df, key, order=order)

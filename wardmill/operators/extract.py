@@ -28,7 +28,7 @@ class Satellite:
     rules: Mapping[str, Column] = field(default_factory=dict)
     key: tuple[str, ...] = ()
     dedup: str = "none"
-    order: tuple[Column, ...] = ()
+    order: tuple[str | Column, ...] = ()
 
 
 def extract(df: DataFrame, spec: Satellite, unique_on: Sequence[str] | None = None) -> DataFrame:

@@ -129,7 +129,7 @@ def contract_records(treated: DataFrame) -> DataFrame:
     Money is summed, bed days are averaged, everything else comes from the earliest row: known
     admission date first, then discharge and procedure, then the remaining columns.
     """
-    order = [F.col("DT_INTER").isNull(), F.col("DT_INTER"), F.col("DT_SAIDA"), F.col("PROC_REA")]
+    order = [F.col("DT_INTER").isNull(), "DT_INTER", "DT_SAIDA", "PROC_REA"]
     return contract(
         treated,
         key=("N_AIH",),
