@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from oracle import DATA, compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from wardmill.catalog import all_oracles as oracle_sql
+from wardmill.catalog import all_queries as queries
 
 SF_DIR = DATA / "sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
