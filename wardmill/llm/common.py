@@ -6,9 +6,11 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardmill.session import stage
+
 # A word is a run of anything but these ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 WORDS_PER_CHUNK = 1 << 17
@@ -87,3 +89,32 @@ def word_chunks(
         if len(flat) >= WORDS_PER_CHUNK or i == len(texts) - 1:
             yield first, np.array(flat, dtype=np.uint64), np.array(lengths, dtype=np.int64)
             first, flat, lengths = i + 1, [], []
+
+
+def prefix_sums(
+    df: DataFrame, key: list[str], order: list[str], amount: str, label: str
+) -> DataFrame:
+    """``df`` with ``before``, the sum of ``amount`` over the rows of its key that come before.
+
+    Rows are range-sorted by key and order, each range adds up its own, and the sums of the ranges
+    before it are added. So a key of any size is spread over many tasks; what one task sees of a
+    key is one row for each range. The ranges are written, so that they and their sums agree even
+    if an executor is lost in between. Keys may be null.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(c).asc_nulls_first() for c in [*key, *order]]
+    ranged = stage(df.repartitionByRange(ranges, *by).withColumn("range", F.spark_partition_id()), label)
+    sums = ranged.groupBy(*key, "range").agg(F.sum(amount).alias("sum_"))
+    rows_before = Window.unboundedPreceding, -1
+    offsets = sums.select(
+        F.struct(*key, "range").alias("key_"),
+        F.sum("sum_").over(Window.partitionBy(*key).orderBy("range").rowsBetween(*rows_before)).alias("offset_"),
+    )
+    inside = Window.partitionBy("range", *key).orderBy(*by).rowsBetween(*rows_before)
+    placed = ranged.withColumn("inside_", F.sum(amount).over(inside))
+    same = [F.col(c).eqNullSafe(F.col(f"key_.{c}")) for c in [*key, "range"]]
+    zero = F.lit(0).cast("long")
+    return placed.join(offsets, same).select(
+        *df.columns,
+        (F.coalesce("inside_", zero) + F.coalesce("offset_", zero)).alias("before"),
+    )

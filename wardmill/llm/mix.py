@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardmill.llm.common import keyed, same_document, words
+from wardmill.llm.common import keyed, prefix_sums, same_document, words
 from wardmill.session import stage
 
 WEIGHTS = (5, 2, 1)  # of the sources by code point, repeating
@@ -88,34 +88,13 @@ def mix(
         ),
         "mix-sizes",
     )
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("src").asc_nulls_last(), F.col("key"), F.col("size"), F.col("digest")]
-    # Written, so that ranges and sums agree even if an executor is lost in between.
-    ranged = stage(
-        sized.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()),
-        "mix-ranges",
-    )
-    # One row per range and source: as many as there are tasks, whatever the input.
-    sums = ranged.groupBy("src", "range").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        F.col("src").alias("src_"),
-        F.col("range").alias("range_"),
-        F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"),
-    )
-    per_source = sums.groupBy("src").agg(F.sum("words").alias("source_size"))
-    target = targets(per_source, weights, share, most)
-    offsets = offsets.join(target, F.col("src_").eqNullSafe(F.col("src")))
-    within = Window.partitionBy("range", "src").orderBy("key", "size", "digest")
-    own = within.rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("inside", F.coalesce(F.sum("size").over(own), F.lit(0))).join(
-        offsets.drop("src"),
-        (F.col("range") == F.col("range_")) & F.col("src").eqNullSafe(F.col("src_")),
-    )
+    placed = prefix_sums(sized, ["src"], ["key", "size", "digest"], "size", "mix-ranges")
+    per_source = sized.groupBy("src").agg(F.sum("size").alias("source_size"))
+    target = targets(per_source, weights, share, most).withColumnRenamed("src", "src_")
+    placed = placed.join(target, F.col("src").eqNullSafe(F.col("src_")))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     rest = F.floor(F.col("target") - epochs * F.col("source_size")).cast("long")
-    start = F.col("offset") + F.col("inside")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
+    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     taken = F.coalesce(epochs * F.col("size") + part, F.lit(0)).cast("long")
     return placed.select(
         F.col("id").alias("doc_id"), "digest", F.col("src").alias("source"), "size", "source_size",

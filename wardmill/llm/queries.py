@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import decontaminate, line_dedup, mix, near_dedup, quality, url_filter
+from wardmill.llm import (
+    chat,
+    decontaminate,
+    fingerprint,
+    line_dedup,
+    mix,
+    near_dedup,
+    pii,
+    quality,
+    substring_dedup,
+    url_filter,
+)
 
 RULES = (
     ("block", "net/"),
@@ -37,6 +48,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they are."""
+    return fingerprint.compare(table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicates by four-word shingles at a similarity of 0.8."""
     groups = near_dedup.group(table(spark, sf_dir, "documents"), shingle=4, percent=80)
@@ -51,6 +67,28 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("digest").withColumnRenamed("id", "doc_id")
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of all conversations, read back from raw transcripts of many styles.
+
+    The model is counted on conversations whose crc32(conv_id as text) mod 4 is not 2.
+    """
+    raw = chat.raw_lines(table(spark, sf_dir, "conversations"))
+    model = chat.train(raw.where(~quality.held_out(F.col("conv"))))
+    turns = chat.decode(raw, model)
+    return turns.select(
+        F.col("conv").alias("conv_id"), "turn", "role", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(chat.rendered(F.col("role"), F.col("text")), 256).alias("rendered_sha256"),
+    )
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: plain counts and the spans, disguised ones included."""
+    return pii.detect(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[f"n_{kind}" for kind in pii.KINDS],
+        F.sha2("base", 256).alias("base_sha256"), "spans",
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -58,13 +96,22 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", predicted)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of 20 words that starts earlier too."""
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("digest")
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
+    "op4_fingerprint": op4_fingerprint,
     "op5_near_dedup": op5_near_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_chat": op7_chat,
+    "op8_pii": op8_pii,
     "op9_quality": op9_quality,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -182,4 +229,30 @@ ORACLE = {
         least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
         SELECT l.doc_id, s.n AS n_shingles, l.component_id, l.doc_id = l.component_id AS kept
         FROM least l JOIN sizes s ON l.doc_id = s.doc_id""",
+    "op10_substring_dedup": rf"""
+        WITH lists AS (
+            SELECT doc_id, coalesce(regexp_extract_all(text, {_WORD}), []) AS w FROM documents),
+        windows AS (
+            SELECT doc_id, unnest(generate_series(1, len(w) - 19)) AS pos,
+                unnest(list_transform(generate_series(1, len(w) - 19),
+                    lambda i: md5(array_to_string(w[i:i + 19], ' ')))) AS hash
+            FROM lists WHERE len(w) >= 20),
+        later AS (
+            SELECT doc_id, pos FROM (
+                SELECT doc_id, pos,
+                    row_number() OVER (PARTITION BY hash ORDER BY doc_id, pos) AS nth FROM windows)
+            WHERE nth > 1),
+        words AS (
+            SELECT doc_id, unnest(generate_series(1, len(w))) AS pos, unnest(w) AS word FROM lists),
+        marked AS (
+            SELECT w.doc_id, w.pos, w.word, coalesce(max(l.pos) OVER (PARTITION BY w.doc_id
+                ORDER BY w.pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+            FROM words w LEFT JOIN later l ON w.doc_id = l.doc_id AND w.pos = l.pos),
+        kept AS (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+                string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS text
+            FROM marked GROUP BY doc_id)
+        SELECT l.doc_id, len(l.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+            sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM lists l LEFT JOIN kept k ON l.doc_id = k.doc_id""",
 }
