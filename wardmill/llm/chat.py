@@ -19,7 +19,6 @@ line is read as the first state.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -242,7 +241,7 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
         )
         .groupBy("conv", "turn")
         .agg(
-            F.min("state").alias("state"),
+            F.min(F.struct("at", "state"))["state"].alias("state"),
             F.array_sort(F.collect_list(F.struct("at", "said"))).alias("lines"),
         )
         .select(
