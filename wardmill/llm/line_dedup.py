@@ -44,20 +44,17 @@ def _pair_hash(a: Column, b: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(a, b), 32)
 
 
-def _halves(line: Column, size: Column) -> Column:
-    """Keys of the halves a line can share with one of its own length or one longer or shorter."""
+def _halves(line: Column) -> Column:
+    """Keys of the halves a line can share with one of its own length or one longer or shorter.
+
+    First half and last half of its own length, then those of a line one shorter.
+    """
+    size = F.length(line)
 
     def keys(shorter: Column) -> list[Column]:
         half = F.floor(shorter / 2).cast("int")
         sides = (F.left(line, half), F.right(line, half))
-        return [
-            F.struct(
-                F.lit(side).alias("side"),
-                shorter.cast("int").alias("shorter"),
-                F.xxhash64(F.lit(side), shorter, part).alias("half"),
-            )
-            for side, part in enumerate(sides)
-        ]
+        return [F.xxhash64(F.lit(side), shorter, part) for side, part in enumerate(sides)]
 
     return F.array(*keys(size), *keys(size - 1))
 
@@ -100,24 +97,27 @@ def _variants(chars: Column, side: Column, shorter: Column, half: Column) -> Col
 
 
 def _near(docs: DataFrame, distinct: DataFrame, near_chars: int) -> DataFrame:
-    """Hashes (``h1``, ``h2``) of the distinct lines with an earlier line one edit away."""
-    halves = stage(
-        distinct.where(F.col("chars") >= near_chars)
-        .select("h1", "h2", "first", F.explode("halves").alias("half"))
-        .where(F.col("half.shorter") >= near_chars)
-        .select("h1", "h2", "first", "half.*"),
-        "line-halves",
+    """First places of the distinct lines with an earlier line one edit away."""
+    # A line that is one shorter has to be long enough as well.
+    long_enough = F.when(F.col("chars") > near_chars, F.col("halves")).otherwise(
+        F.slice("halves", 1, 2)
     )
-    group = ["side", "shorter", "half"]
-    shared = halves.groupBy(*group).agg(F.count("*").alias("lines")).where("lines > 1")
-    kept = halves.join(shared.drop("lines"), group)
+    halves = distinct.where(F.col("chars") >= near_chars).select(
+        "place", F.explode(long_enough).alias("half")
+    )
+    shared = halves.groupBy("half").agg(F.count("*").alias("lines")).where("lines > 1")
+    kept = halves.join(shared.drop("lines"), "half").select("place.*", "half")
     # Back to the texts: each line stands where it stands first.
-    per_doc = kept.select("first.id", "first.digest", "first.pos", "h1", "h2", *group)
     whole = keyed(docs).select("id", "digest", "body")
+    line = F.get(_lines(F.col("body")), F.col("pos"))
+    found = whole.join(kept, same_document(whole, kept)).select(
+        kept["id"], kept["digest"], "pos", "half", line.alias("line")
+    )
+    which = F.array_position(_halves(F.col("line")), F.col("half")) - 1
     found = stage(
-        whole.join(per_doc, same_document(whole, per_doc)).select(
-            per_doc["id"], per_doc["digest"], "pos", "h1", "h2", *group,
-            F.get(_lines(F.col("body")), F.col("pos")).alias("line"),
+        found.withColumn("which", which).select(
+            F.struct(*PLACE).alias("place"), "half", "line", (F.col("which") % 2).alias("side"),
+            (F.length("line") - F.floor(F.col("which") / 2)).alias("shorter"),
         ),
         "line-candidates",
     )
@@ -126,9 +126,7 @@ def _near(docs: DataFrame, distinct: DataFrame, near_chars: int) -> DataFrame:
         lambda chars: _variants(chars, F.col("side"), F.col("shorter"), F.col("half")),
     )
     variants = stage(
-        found.select(F.struct(*PLACE).alias("place"), "h1", "h2", F.explode(keys).alias("v")).select(
-            "place", "h1", "h2", "v.*"
-        ),
+        found.select("place", F.explode(keys).alias("v")).select("place", "v.*"),
         "line-variants",
     )
     earliest = (
@@ -147,16 +145,16 @@ def _near(docs: DataFrame, distinct: DataFrame, near_chars: int) -> DataFrame:
     )
     pairs = (
         variants.join(earliest, "key")
-        .select("place", "h1", "h2", partner.alias("partner"))
+        .select("place", partner.alias("partner"))
         .where("partner < place")
         .distinct()
     )
-    texts = found.select(F.struct(*PLACE).alias("at"), "line").distinct()
+    texts = found.select("place", "line").distinct()
     return (
-        pairs.join(texts.toDF("place", "line"), "place")
+        pairs.join(texts, "place")
         .join(texts.toDF("partner", "other"), "partner")
         .where(F.levenshtein("line", "other", 1).between(0, 1))
-        .select("h1", "h2")
+        .select("place")
         .distinct()
     )
 
@@ -164,27 +162,30 @@ def _near(docs: DataFrame, distinct: DataFrame, near_chars: int) -> DataFrame:
 def removed_lines(docs: DataFrame, near_chars: int = NEAR_CHARS) -> DataFrame:
     """``id``, ``digest`` and the positions ``gone`` of the lines to remove, where there are any."""
     whole = keyed(docs).select("id", "digest", "body")
-    line, size = F.col("line"), F.length("line")
+    line = F.col("line")
     occurrences = (
         whole.select("id", "digest", F.posexplode(_lines(F.col("body"))).alias("pos", "line"))
         .where(line.rlike(r"[^\x20\x09-\x0D]"))
         .select(
-            "id", "digest", "pos",
             F.xxhash64(F.lit(1), line).alias("h1"), F.xxhash64(F.lit(2), line).alias("h2"),
-            size.alias("chars"), _halves(line, size).alias("halves"),
+            "id", "digest", "pos", F.length("line").alias("chars"), _halves(line).alias("halves"),
         )
     )
     distinct = stage(
         occurrences.groupBy("h1", "h2")
         .agg(F.min(F.struct("id", "digest", "pos", "chars", "halves")).alias("one"))
         .select(
-            "h1", "h2", F.struct("one.id", "one.digest", "one.pos").alias("first"),
+            "h1", "h2", F.struct("one.id", "one.digest", "one.pos").alias("place"),
             "one.chars", "one.halves",
         ),
         "line-distinct",
     )
-    near = _near(docs, distinct, near_chars).withColumn("near", F.lit(True))
-    judged = distinct.select("h1", "h2", "first").join(near, ["h1", "h2"], "left")
+    near = _near(docs, distinct, near_chars).select("place", F.lit(True).alias("near"))
+    judged = (
+        distinct.select("h1", "h2", "place")
+        .join(near, "place", "left")
+        .select("h1", "h2", F.col("place").alias("first"), "near")
+    )
     return (
         occurrences.select("h1", "h2", F.struct(*PLACE).alias("place"))
         .join(judged, ["h1", "h2"])
