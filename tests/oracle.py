@@ -18,7 +18,7 @@ DATA = Path("/root/testdata")
 KINDS = {
     "byte": "int", "short": "int", "integer": "int", "long": "int",
     "TINYINT": "int", "SMALLINT": "int", "INTEGER": "int", "BIGINT": "int",
-    "HUGEINT": "huge", "float": "float", "double": "float", "FLOAT": "float", "DOUBLE": "float",
+    "HUGEINT": "huge", "decimal": "huge", "DECIMAL(38,0)": "huge", "float": "float", "double": "float", "FLOAT": "float", "DOUBLE": "float",
     "string": "text", "VARCHAR": "text", "date": "date", "DATE": "date",
     "boolean": "bool", "BOOLEAN": "bool", "timestamp_ntz": "time", "TIMESTAMP": "time",
 }

@@ -1,5 +1,7 @@
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from wardmill.operators.keys import orphan_keys
 from wardmill.plans.model import TABLES
 from wardmill.plans.records import COLUMNS
 from wardmill.plans.workflow import Layout, audit_stage, run_all
-from wardmill.session import shared_dir, spread, stage
+from wardmill.session import drop_staged, shared_dir, stage
 from wardmill.sinks import writers as W
 from wardmill.sources import files as S
 from wardmill.sources import manifest as M
@@ -73,11 +75,10 @@ def test_read_drifting(spark, raw_folder):
         S.read_drifting(spark, ingest.skipped, COLUMNS)
 
 
-def test_rows_per_file_and_cap(spark, raw_folder):
+def test_rows_per_file(spark, raw_folder):
     good = spark.read.parquet(str(raw_folder / "RD0801.parquet"), str(raw_folder / "RD0902.parquet"))
     counts = S.rows_per_file(good)
     assert sorted(r.rows for r in counts.collect()) == [1, 2]
-    assert S.capped_rows(counts, "rows", 1, "n").first().n == 2
     listed = S.discover(spark, str(raw_folder))
     left = S.unread_files(listed, counts)
     assert sorted(r.stem for r in left.collect()) == ["RD0901", "RD0903"]
@@ -204,13 +205,6 @@ def test_stage_and_shared_dir(spark):
     assert stage(spark.range(5), "t").count() == 5
 
 
-def test_spread_only_when_there_are_too_few_tasks(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 10, 1, cores + 1)
-    assert spread(many) is many
-
-
 def test_stream_reads_each_file_once(spark, tmp_path):
     raw, out, checkpoint = (str(tmp_path / n) for n in ("raw", "out", "cp"))
     first = spark.createDataFrame([("1", "1,5"), ("x", "2")], "N_AIH string, VAL_SH string")
@@ -252,8 +246,13 @@ def test_whole_run(spark, tmp_path):
     assert out["load"]["internacoes"] == 2
     failing = {
         (r.check_name, r.table_name, r.column_name): r.violations
-        for r in audit_stage(spark, at).where("NOT passed").collect()
+        for r in audit_stage(spark, at).where("NOT passed AND reason IS NULL").collect()
     }
+    absent = audit_stage(spark, at).where("reason IS NOT NULL").collect()
+    assert {r.reason for r in absent} and not any(r.passed for r in absent)
+    assert spark.read.parquet(f"{at.reports}/unidentified").count() == 0
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    assert not (shared / f"wardmill-{spark.sparkContext.applicationId}").exists()
     # The second case is broken on purpose; each of its faults is found by its own check.
     assert failing == {
         ("accepted_values", "internacoes", "SEXO"): 1,
@@ -268,3 +267,58 @@ def test_whole_run(spark, tmp_path):
     }
     run_all(spark, at)
     assert len(W.versions(spark, at.treated)) == 2
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    """Footers are read by tasks: 40 and 200 files take the same number of jobs."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        folder = tmp_path / f"files{n}"
+        folder.mkdir()
+        table = pa.table({"N_AIH": ["1"], "CNES": ["2"]})
+        for i in range(n):
+            pq.write_table(table, folder / f"f{i}.parquet")
+        group = f"files{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        ingest = S.read_drifting(spark, [f"file:{p}" for p in sorted(folder.iterdir())], COLUMNS)
+        used = len(tracker.getJobIdsForGroup(group))
+        assert ingest.rows.count() == n
+        return used
+
+    assert jobs(40) == jobs(200)
+
+
+def test_only_broken_footers_are_skipped(spark, tmp_path):
+    good, broken = tmp_path / "good.parquet", tmp_path / "broken.parquet"
+    pq.write_table(pa.table({"N_AIH": ["1"]}), good)
+    broken.write_bytes(b"PAR1 but no footer")
+    ingest = S.read_drifting(spark, [f"file:{good}", f"file:{broken}"], COLUMNS)
+    assert ingest.skipped == [f"file:{broken}"] and ingest.rows.count() == 1
+    with pytest.raises(Exception, match="absent"):
+        S.read_drifting(spark, [f"file:{good}", f"file:{tmp_path}/absent.parquet"], COLUMNS)
+
+
+def test_a_replaced_parent_empties_its_children(spark, tmp_path):
+    write, spec = W.parquet_writer(str(tmp_path)), TABLES
+    fact = spark.createDataFrame([(1,)], "N_AIH long")
+    cbor = spark.createDataFrame([(1,)], "N_AIH long")
+    assert W.load_all({"internacoes": fact, "cbor": cbor}, write) == {"internacoes": 1, "cbor": 1}
+    loaded = W.load_all({"internacoes": fact.selectExpr("N_AIH + 1 AS N_AIH"), "cbor": cbor.limit(0)}, write)
+    assert loaded == {"internacoes": 1, "cbor": 0}
+    assert spark.read.schema(spec["cbor"].schema).parquet(f"{tmp_path}/cbor").count() == 0
+
+
+def test_buckets_are_files(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    fact = spark.range(1000).selectExpr("id AS N_AIH").repartition(8)
+    W.catalog_writer("bucketed", buckets=4)("internacoes", fact)
+    assert spark.table("bucketed.internacoes").select("_metadata.file_path").distinct().count() == 4
+
+
+def test_staged_tables_can_be_dropped(spark):
+    kept = stage(spark.range(3), "kept")
+    assert kept.count() == 3
+    drop_staged(spark)
+    folder = Path(shared_dir(spark).removeprefix("file:")) / f"wardmill-{spark.sparkContext.applicationId}"
+    assert not folder.exists()

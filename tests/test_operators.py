@@ -10,7 +10,8 @@ from wardmill.operators import keys as K
 from wardmill.operators import profile as P
 from wardmill.operators import quality as Q
 from wardmill.operators.contract import contract, dedup_first
-from wardmill.operators.project import conform, extra_columns, union_as_text
+from wardmill.operators.keys import number_rows
+from wardmill.operators.project import as_text, conform, extra_columns, union_as_text
 
 
 def rows(df):
@@ -255,7 +256,8 @@ def test_discrepancy_reports(spark):
     )
     difference = P.discrepancy(F.col("total"), [F.col(c) for c in "abc"])
     bad = P.discrepant(df, difference)
-    assert rows(P.difference_histogram(bad)) == [(-3.0, 1), (2.0, 1)]
+    assert rows(P.difference_histogram(bad, None)) == [(-3.0, 1), (2.0, 1)]
+    assert rows(P.difference_histogram(bad, 1)) == [(-3.0, 1)]
     report = P.cost_quality(df, difference, [F.col(c) for c in ("total", "a", "b", "c")])
     assert tuple(report.first()) == (3, 2, 1, 66.67, 33.33)
 
@@ -304,3 +306,45 @@ def test_checks(checked, make, bad):
         assert found.agg(F.sum("occurrences")).first()[0] == bad
     else:
         assert found.count() == bad
+
+
+def test_numbers_as_text_by_type(spark):
+    """Doubles from writers that turn integers with gaps into doubles, and small amounts."""
+    values = [4323100000001.0, 3.0, 0.0005, -2.5, 1e7, 12345678.25, None, float("nan"), 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "a double").selectExpr("a", "CAST(a AS FLOAT) AS f")
+    got = [r.a for r in as_text(df, ["a"]).collect()]
+    assert got == ["4323100000001", "3", "0.0005", "-2.5", "10000000", "12345678.25", None, None, "0"]
+    other = spark.sql("SELECT CAST(12.50 AS DECIMAL(9,2)) AS d, CAST(7 AS TINYINT) AS t, CAST(0.1 AS FLOAT) AS f")
+    assert as_text(other, ["d", "t", "f"]).first() == ("12.5", "7", "0.1")
+
+
+def test_diff_casts_to_the_left_type_and_writes_keys_once(spark):
+    a = spark.createDataFrame([(1, 5, 2.5), (2, 6, None)], "k long, n int, v double")
+    b = spark.createDataFrame([("1", "5", "2.5"), ("2", "x", "1"), ("y", "5", "1")], "k string, n string, v string")
+    got = {r["column"]: (int(r.equal), int(r.different)) for r in P.dataset_diff(a, b, ["k"]).collect()}
+    assert got == {"n": (1, 1), "v": (1, 1)}
+
+
+def test_counts_of_a_hot_key_do_not_overflow(spark):
+    """Products of counts are decimals, wider than a long."""
+    a = spark.createDataFrame([(1, "x")], "k int, t string")
+    types = dict(P.dataset_diff(a, a, ["k"]).dtypes)
+    assert types["equal"] == types["different"] == "decimal(38,0)"
+
+
+def test_dedup_of_a_frame_that_is_all_key(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "a int, b int")
+    assert sorted(map(tuple, dedup_first(df, ("a", "b")).collect())) == [(1, 2), (3, 4)]
+
+
+def test_a_check_without_its_table_has_not_passed(spark):
+    tables = {"t": spark.createDataFrame([(1,)], "a int")}
+    checks = [Q.not_null("t", "a"), Q.not_null("u", "a"), Q.RelationshipCheck("t", ("a",), "p", ("b",))]
+    got = {(r.table_name, r.passed, r.reason) for r in Q.scorecard(tables, checks).collect()}
+    assert got == {("t", True, None), ("u", False, "no table u"), ("t", False, "no table p")}
+
+
+def test_a_total_order_is_numbered_with_one_write(spark):
+    df = spark.createDataFrame([(i * 7 % 50,) for i in range(50)], "a int").repartition(4)
+    rows = number_rows(df, "n", order=("a",), partitions=3, total=True).collect()
+    assert sorted(map(tuple, rows)) == [(i + 1, i) for i in range(50)]

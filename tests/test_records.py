@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -203,3 +204,18 @@ def test_satellite_rules_read_text_or_numbers(spark):
 
     df = spark.createDataFrame([(1, "1"), (2, None), (3, "x")], "N_AIH bigint, INFEHOSP string")
     assert [tuple(r) for r in extract(df, SATELLITES["infehosp"]()).collect()] == [(1, 1)]
+
+
+def test_first_row_has_a_known_discharge(spark):
+    rows = [(1, date(2023, 1, 1), None), (1, date(2023, 1, 1), date(2023, 1, 9))]
+    df = spark.createDataFrame(rows, "N_AIH long, DT_INTER date, DT_SAIDA date")
+    df = df.selectExpr("*", "5 AS PROC_REA")
+    row = R.contract_records(df).first()
+    assert (row.DT_SAIDA, row.DIAS_PERM) == (date(2023, 1, 9), 8)
+
+
+def test_declared_checks_are_as_many_as_declared():
+    """Pinned, since the SQL of the audits is made from the same lists."""
+    kinds = Counter(c.name for c in A.declared_checks())
+    named = [kinds.pop(n) for n in ("not_null", "unique", "relationships", "accepted_values")]
+    assert named + [sum(kinds.values())] == [25, 5, 13, 3, 8]

@@ -30,6 +30,7 @@ from wardmill.operators.quality import (
     violations,
     within,
 )
+from wardmill.plans.audit import CODE_FORMAT
 
 QUERIES = {}
 ORACLE = {}
@@ -54,7 +55,6 @@ CASE_COLUMNS = {
     "amount": "CASE WHEN l_discount = 0.1 THEN -l_extendedprice ELSE l_extendedprice END",
 }
 CASES_SQL = derive_sql(CASE_COLUMNS, "lineitem")
-CODE_PATTERN = r"^[A-Z][0-9]{2,3}(\.[0-9])?$"
 
 
 def cases(spark, sf_dir):
@@ -82,9 +82,9 @@ _add(
 )
 _add(
     "check_regex",
-    lambda: matches("cases", "code", CODE_PATTERN),
+    lambda: matches("cases", "code", CODE_FORMAT),
     ("code",),
-    f"code IS NOT NULL AND NOT regexp_matches(code, '{CODE_PATTERN}')",
+    f"code IS NOT NULL AND NOT regexp_matches(code, '{CODE_FORMAT}')",
 )
 _add(
     "check_date_order",
@@ -182,7 +182,7 @@ def quality_scorecard(spark, sf_dir):
         not_null("orders", "o_custkey"),
         accepted_values("cases", "sex", (1, 3)),
         accepted_values("orders", "o_orderstatus", ("F", "O")),
-        matches("cases", "code", CODE_PATTERN),
+        matches("cases", "code", CODE_FORMAT),
         in_order("cases", "admitted", "discharged"),
         within("cases", "ethnicity", 0, 270),
         non_negative("cases", ("amount",)),
@@ -203,7 +203,7 @@ _SCORES = (
     ("not_null", "orders", "o_custkey", "o_custkey IS NULL"),
     ("accepted_values", "cases", "sex", "sex NOT IN (1, 3)"),
     ("accepted_values", "orders", "o_orderstatus", "o_orderstatus NOT IN ('F', 'O')"),
-    ("format", "cases", "code", f"NOT regexp_matches(code, '{CODE_PATTERN}')"),
+    ("format", "cases", "code", f"NOT regexp_matches(code, '{CODE_FORMAT}')"),
     ("date_order", "cases", "admitted..discharged", "discharged < admitted"),
     ("range", "cases", "ethnicity", "ethnicity <= 0 OR ethnicity > 270"),
     ("non_negative", "cases", "amount", "amount < 0"),
@@ -247,10 +247,11 @@ def _score_sql(name: str, source: str, column: str, counted: str) -> str:
 
 
 QUERIES["quality_scorecard"] = quality_scorecard
-ORACLE["quality_scorecard"] = " UNION ALL ".join(
+_SCORES_SQL = " UNION ALL ".join(
     [_score_sql(n, s, c, f"{_source(s)} x WHERE {cond}") for n, s, c, cond in _SCORES]
     + [
         _score_sql(n, s, c, f"(SELECT {k} FROM {_source(s)} x GROUP BY {k} HAVING {h})")
         for n, s, c, k, h in _GROUP_SCORES
     ]
 )
+ORACLE["quality_scorecard"] = f"SELECT *, CAST(NULL AS VARCHAR) AS reason FROM ({_SCORES_SQL})"

@@ -12,7 +12,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Billing lines spread over the cores, for work that is heavy per row."""
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    return table(spark, sf_dir, "lineitem")
 
 
 def derive(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

@@ -18,9 +18,6 @@ from wardmill.sources.manifest import coverage_gaps, expected_grid
 QUERIES = {}
 ORACLE = {}
 
-# The years the orders span.
-FIRST_YEAR, LAST_YEAR = 1995, 2001
-
 
 def incremental_new_keys(spark, sf_dir):
     listed = table(spark, sf_dir, "orders").select(
@@ -42,16 +39,18 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_lin
 
 def period_grid_gaps(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    grid = expected_grid(orders.select("o_custkey").distinct(), FIRST_YEAR, LAST_YEAR)
     present = orders.select("o_custkey", F.year("o_orderdate").alias("year"))
+    first, last = present.agg(F.min("year"), F.max("year")).first()
+    grid = expected_grid(orders.select("o_custkey").distinct(), first, last)
     return coverage_gaps(grid, present, ("o_custkey", "year"))
 
 
 QUERIES["period_grid_gaps"] = period_grid_gaps
-ORACLE["period_grid_gaps"] = f"""
+ORACLE["period_grid_gaps"] = """
 SELECT c.o_custkey, CAST(y.year AS INTEGER) AS year
 FROM (SELECT DISTINCT o_custkey FROM orders) c,
-     (SELECT unnest(range({FIRST_YEAR}, {LAST_YEAR + 1})) AS year) y
+     (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS year
+      FROM orders) y
 WHERE NOT EXISTS (SELECT 1 FROM orders o
                   WHERE o.o_custkey = c.o_custkey AND year(o.o_orderdate) = y.year)"""
 
@@ -97,21 +96,23 @@ FOREIGN_KEYS = (
     ("nation", "n_regionkey", "region", "r_regionkey"),
     ("customer", "c_nationkey", "nation", "n_nationkey"),
     ("supplier", "s_nationkey", "nation", "n_nationkey"),
-    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("orders", "custkey", "customer", "c_custkey"),
     ("lineitem", "l_orderkey", "orders", "o_orderkey"),
     ("lineitem", "l_partkey", "part", "p_partkey"),
     ("lineitem", "suppkey", "supplier", "s_suppkey"),
     ("events", "user_id", "customer", "c_custkey"),
     ("labels", "doc_id", "documents", "doc_id"),
 )
-# Solvent customers only, so that the other customers' orders and events are orphans.
+# Parents of the cleanup; the orders of the other customers go.
 CUSTOMERS = "c_acctbal >= 0"
+# Urgent orders name a customer that does not exist.
+CUSTOMER_REF = "CASE WHEN o_orderpriority = '1-URGENT' THEN -o_custkey ELSE o_custkey END"
 
 
 def _linked_tables(spark, sf_dir):
     names = {name for fk in FOREIGN_KEYS for name in (fk[0], fk[2])}
     tables = {name: table(spark, sf_dir, name) for name in names}
-    tables["customer"] = tables["customer"].where(CUSTOMERS)
+    tables["orders"] = tables["orders"].select("*", F.expr(CUSTOMER_REF).alias("custkey"))
     tables["lineitem"] = tables["lineitem"].select("*", F.expr(SUPPLIER_REF).alias("suppkey"))
     return tables
 
@@ -123,8 +124,8 @@ def fk_audit(spark, sf_dir):
 
 
 def _linked_sql(name: str) -> str:
-    if name == "customer":
-        return f"(SELECT * FROM customer WHERE {CUSTOMERS})"
+    if name == "orders":
+        return f"(SELECT *, {CUSTOMER_REF} AS custkey FROM orders)"
     if name == "lineitem":
         return f"(SELECT *, {SUPPLIER_REF} AS suppkey FROM lineitem)"
     return name

@@ -24,7 +24,8 @@ from wardmill.catalog.common import (
     table,
 )
 from wardmill.catalog.shaping import mode_sql
-from wardmill.operators.project import as_text
+from wardmill.operators.profile import dataset_diff
+from wardmill.operators.project import as_text, union_as_text
 from wardmill.plans.audit import audit, declared_checks, key_checks, written_checks
 from wardmill.plans.model import FACT, TABLES, load_order
 from wardmill.plans.records import COLUMNS, CODES, contract_records, treat, type_only, unidentified
@@ -213,6 +214,61 @@ SELECT N_AIH, {", ".join(_typed(c, "DOUBLE") for c in ("VAL_SH", "VAL_SP", "VAL_
 FROM ({RAW_SQL})"""
 
 
+_TYPE_ONLY = (
+    "VAL_SH", "VAL_SP", "VAL_UTI", "DT_INTER", "DT_SAIDA", "NASC", "NACIONAL", "NUM_FILHOS", "ETNIA",
+)
+
+
+def record_versions_diff(spark, sf_dir):
+    """Cleaned against type-only records, by case id."""
+    raw = raw_records(spark, sf_dir)
+    columns = ("N_AIH", *_TYPE_ONLY)
+    return dataset_diff(treat(raw).select(*columns), type_only(raw).select(*columns), ["N_AIH"])
+
+
+_VERSION_PAIRS_SQL = f"""
+SELECT count(*) AS n, {", ".join(f"count(*) FILTER (WHERE a.{c} = b.{c}) AS {c}" for c in _TYPE_ONLY)}
+FROM ({TREATED_SQL}) a JOIN ({ORACLE["type_only_records"]}) b
+  ON regexp_full_match(trim(b.N_AIH), '[+-]?[0-9]+') AND a.N_AIH = TRY_CAST(trim(b.N_AIH) AS BIGINT)"""
+QUERIES["dataset_diff_records"] = record_versions_diff
+ORACLE["dataset_diff_records"] = f"WITH p AS MATERIALIZED ({_VERSION_PAIRS_SQL}) " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST({c} AS DECIMAL(38,0)) AS equal,
+        CAST(n - {c} AS DECIMAL(38,0)) AS different,
+        round(100.0 * {c} / n, 2) AS percent_equal FROM p"""
+    for c in _TYPE_ONLY
+)
+
+# The same records as writers leave them: as text, as integers, and as doubles.
+MIXED = {
+    "N_AIH": "4323100000000 + l_orderkey",
+    "CNES": "2000000 + l_partkey",
+    "UTI_MES_TO": "l_linenumber",
+    "VAL_SH": "CASE WHEN l_linenumber = 1 THEN ROUND(l_extendedprice / 100000000, 10) ELSE l_extendedprice END",
+}
+_AS = {
+    "text": {c: f"CAST({MIXED[c]} AS STRING)" for c in ("N_AIH", "CNES", "UTI_MES_TO")}
+    | {"VAL_SH": "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)"},
+    "whole": {c: f"CAST({MIXED[c]} AS BIGINT)" for c in ("N_AIH", "CNES", "UTI_MES_TO")}
+    | {"VAL_SH": "CAST(floor(l_extendedprice) AS BIGINT)"},
+    "double": {c: f"CAST({e} AS DOUBLE)" for c, e in MIXED.items()},
+}
+
+
+def treat_mixed_types(spark, sf_dir):
+    """Cleaned records of raw frames that differ in type only; every id, count and amount stays."""
+    frames = [derive(lines(spark, sf_dir), columns) for columns in _AS.values()]
+    return treat(union_as_text(frames, MIXED)).select(*MIXED)
+
+
+QUERIES["treat_mixed_types"] = treat_mixed_types
+ORACLE["treat_mixed_types"] = " UNION ALL ".join(
+    f"SELECT CAST({MIXED['N_AIH']} AS BIGINT) AS N_AIH, CAST({MIXED['CNES']} AS BIGINT) AS CNES, "
+    f"CAST({MIXED['UTI_MES_TO']} AS INTEGER) AS UTI_MES_TO, CAST({columns['VAL_SH']} AS DOUBLE) "
+    "AS VAL_SH FROM lineitem"
+    for columns in _AS.values()
+)
+
+
 def unidentified_records(spark, sf_dir):
     return unidentified(raw_records(spark, sf_dir)).select("N_AIH", "CNES", "PROC_REA", "VAL_SH")
 
@@ -225,7 +281,7 @@ WHERE NOT regexp_full_match(trim(N_AIH), '[+-]?[0-9]+')"""
 _SUMMED = ("VAL_SH", "VAL_SP", "VAL_UTI")
 _CARRIED = [c for c in COLUMNS if c not in ("N_AIH", *_SUMMED, *_MEANS, *_DERIVED)]
 _FIRST_ORDER = ["DT_INTER", "DT_SAIDA", "PROC_REA"]
-_RANKED = ["DT_INTER IS NULL", "DT_INTER", "DT_SAIDA NULLS FIRST", "PROC_REA"] + [
+_RANKED = ["DT_INTER IS NULL", "DT_INTER", "DT_SAIDA IS NULL", "DT_SAIDA", "PROC_REA"] + [
     f"{c} ASC NULLS FIRST" for c in _CARRIED if c not in _FIRST_ORDER
 ]
 CONTRACTED_SQL = f"""
@@ -378,6 +434,10 @@ def _keys_check(name, table_name, column, key, having):
     )
 
 
+def _without_reason(parts) -> str:
+    return f"SELECT *, CAST(NULL AS VARCHAR) AS reason FROM ({' UNION ALL '.join(parts)})"
+
+
 def _audit_sql() -> str:
     from wardmill.plans.audit import (
         ACCEPTED,
@@ -440,7 +500,7 @@ def _audit_sql() -> str:
         )
     )
     parts.append(_rows_check("positive", FACT, "IDADE", "IDADE <= 0"))
-    return f"{STAGES_SQL}, {_loaded_sql()} " + " UNION ALL ".join(parts)
+    return f"{STAGES_SQL}, {_loaded_sql()} {_without_reason(parts)}"
 
 
 def _key_audit_sql() -> str:
@@ -468,7 +528,7 @@ def _key_audit_sql() -> str:
             )
             for r in spec.references
         ]
-    return f"{STAGES_SQL}, {_loaded_sql()} " + " UNION ALL ".join(parts)
+    return f"{STAGES_SQL}, {_loaded_sql()} {_without_reason(parts)}"
 
 
 QUERIES["star_audit"] = star_audit

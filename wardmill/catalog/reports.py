@@ -94,7 +94,7 @@ def _difference():
 
 
 def sum_discrepancy(spark, sf_dir):
-    return difference_histogram(discrepant(stored_totals(spark, sf_dir), _difference()))
+    return difference_histogram(discrepant(stored_totals(spark, sf_dir), _difference()), 25)
 
 
 QUERIES["sum_discrepancy"] = sum_discrepancy
@@ -202,7 +202,8 @@ FROM ({derive_sql(VERSION_1, "lineitem")}) a JOIN ({derive_sql(VERSION_2, "linei
   ON {" AND ".join(f"a.{k} = b.{k}" for k in VERSION_KEY)}"""
 QUERIES["dataset_diff"] = version_diff
 ORACLE["dataset_diff"] = " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", {c} AS equal, n - {c} AS different,
+    f"""SELECT '{c}' AS "column", CAST({c} AS DECIMAL(38,0)) AS equal,
+        CAST(n - {c} AS DECIMAL(38,0)) AS different,
         round(100.0 * {c} / n, 2) AS percent_equal FROM ({_PAIRS_SQL})"""
     for c in _COMPARED
 )

@@ -13,7 +13,6 @@ from wardmill.operators.keys import number_rows
 from wardmill.operators.profile import top_values
 from wardmill.operators.project import conform, union_as_text
 from wardmill.sinks.writers import table_rows, with_total
-from wardmill.sources.files import capped_rows
 
 QUERIES = {}
 ORACLE = {}
@@ -199,18 +198,16 @@ ORACLE["table_row_counts"] = f"""
 SELECT * FROM ({_COUNTS_SQL})
 UNION ALL SELECT 'total', CAST(sum(rows) AS BIGINT) FROM ({_COUNTS_SQL})"""
 
-EVENT_CAP = 2000
 
-
-def capped_group_count(spark, sf_dir):
+def exact_group_count(spark, sf_dir):
     counts = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("rows"))
-    return capped_rows(counts, "rows", EVENT_CAP, "sampled_rows")
+    return with_total(counts.withColumnRenamed("event_type", "table_name"))
 
 
-QUERIES["capped_group_count"] = capped_group_count
-ORACLE["capped_group_count"] = f"""
-SELECT CAST(sum(least(n, {EVENT_CAP})) AS BIGINT) AS sampled_rows
-FROM (SELECT count(*) AS n FROM events GROUP BY event_type)"""
+QUERIES["exact_group_count"] = exact_group_count
+ORACLE["exact_group_count"] = """
+SELECT event_type AS table_name, count(*) AS rows FROM events GROUP BY event_type
+UNION ALL SELECT 'total', count(*) FROM events"""
 
 FIRST_COLUMNS = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_tax")
 

@@ -50,7 +50,7 @@ def contract(
     aggregates += [F.avg(c).alias(c) for c in means]
     if carried:
         aggregates.append(F.min(_ordered_row(order, carried)).alias(_FIRST))
-    grouped = df.groupBy(*key).agg(*aggregates)
+    grouped = df.groupBy(*key).agg(*aggregates) if aggregates else df.select(*key).distinct()
     flat = grouped.select(
         *key, *sums, *means, *[F.col(f"{_FIRST}.{c}").alias(c) for c in carried]
     )

@@ -77,7 +77,7 @@ def new_keys(listed: DataFrame, present: DataFrame, key: str) -> DataFrame:
 
 
 def _partition_offsets(placed: DataFrame, size: Column) -> DataFrame:
-    """Rows before each range partition and in all. One row per partition, at any data size."""
+    """Rows before each range partition and in all: one row per partition, so one for each task."""
     sizes = placed.groupBy("_part").agg(size.alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
@@ -88,7 +88,11 @@ def _partition_offsets(placed: DataFrame, size: Column) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, name: str, order: Sequence[str] = (), partitions: int | None = None
+    df: DataFrame,
+    name: str,
+    order: Sequence[str] = (),
+    partitions: int | None = None,
+    total: bool = False,
 ) -> DataFrame:
     """Gap-free ids 1..n without moving the table through one task.
 
@@ -97,12 +101,15 @@ def number_rows(
 
     With ``order`` the rows are range-partitioned and sorted first. Equal rows are told apart by
     a written position, so that many copies of one row are still split over partitions, and
-    split the same way if a task is run again.
+    split the same way if a task is run again. A caller that knows its order to be ``total``, no
+    two rows being equal in it, saves that first write.
     """
     columns = df.columns
     if order:
-        tied = stage(df.select("*", F.monotonically_increasing_id().alias("_tie")), "tied")
-        by = [*order, "_tie"]
+        tied, by = df, list(order)
+        if not total:
+            tied = stage(df.select("*", F.monotonically_increasing_id().alias("_tie")), "tied")
+            by.append("_tie")
         ranged = (
             tied.repartitionByRange(partitions, *by) if partitions else tied.repartitionByRange(*by)
         )
@@ -114,8 +121,7 @@ def number_rows(
         "numbered",
     )
     offsets = _partition_offsets(placed, F.count("*"))
-    # One row per partition: its size is set by the number of tasks, not by the data.
-    joined = placed.join(F.broadcast(offsets), "_part")
+    joined = placed.join(offsets, "_part")
     return joined.select(
         (F.col("_before") + F.col("_pos") + 1).cast("bigint").alias(name), *columns
     )
@@ -146,7 +152,7 @@ def values_at_ranks(
     in_part = (
         Window.partitionBy("_part").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
     )
-    running = placed.join(F.broadcast(offsets), "_part").select(
+    running = placed.join(offsets, "_part").select(
         column, "_n", "_total", (F.col("_before") + F.sum("_n").over(in_part)).alias("_upto")
     )
     hits = F.array_compact(

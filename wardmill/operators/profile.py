@@ -9,8 +9,9 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.functions.numeric import percent
+from wardmill.functions.numeric import fit, percent
 from wardmill.operators.keys import values_at_ranks
+from wardmill.session import stage
 
 # The columns a completeness report marks as critical.
 CRITICAL = ("N_AIH", "CNES", "PROC_REA", "DT_INTER")
@@ -85,9 +86,11 @@ def discrepant(df: DataFrame, difference: Column, tolerance: float = 1.0) -> Dat
     )
 
 
-def difference_histogram(rows: DataFrame, n: int = 25) -> DataFrame:
-    """The most frequent differences, ties by value."""
-    return top_values(rows, "difference", n).withColumnRenamed("frequency", "occurrences")
+def difference_histogram(rows: DataFrame, n: int | None) -> DataFrame:
+    """Differences with their number of rows: all of them, or the ``n`` most frequent."""
+    if n is not None:
+        return top_values(rows, "difference", n).withColumnRenamed("frequency", "occurrences")
+    return rows.groupBy("difference").agg(F.count("*").alias("occurrences"))
 
 
 def cost_quality(
@@ -137,12 +140,25 @@ def describe(df: DataFrame, column: str, partitions: int | None = None) -> DataF
 def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Share of equal values per column over the pairs of rows that share a key.
 
-    Null equals nothing, as in an SQL comparison. Keys held once on each side are compared
-    directly. For a repeated key the pairs are not built: the pairs that agree on a value are
-    the product of the two sides' counts of it.
+    Null equals nothing, as in an SQL comparison. Where the sides differ in type, ``b`` is cast to
+    the type of ``a``, and a value that does not fit is null. Keys held once on each side are
+    compared directly. For a repeated key the pairs are not built: the pairs that agree on a value
+    are the product of the two sides' counts of it. Products are summed as decimals, since two
+    counts of some billions overflow a long.
+
+    The counts by key are written once. Both the direct comparison and the repeated keys start
+    from there, and the join back to the rows is one of plain shuffles, which adaptive execution
+    can split where a key is hot.
     """
     keys = [k for k in keys if k in a.columns and k in b.columns]
     columns = [c for c in a.columns if c in b.columns and c not in keys]
+    held, wanted = ({f.name: f.dataType for f in df.schema.fields} for df in (b, a))
+    b = b.select(
+        *[
+            F.col(c) if held[c] == wanted[c] else fit(F.col(c), held[c], wanted[c]).alias(c)
+            for c in (*keys, *columns)
+        ]
+    )
     left, right = F.col("_side") == 0, F.col("_side") == 1
     both = (
         a.select(*keys, *columns, F.lit(0).alias("_side"))
@@ -150,7 +166,7 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         .dropna(subset=keys)
     )
     row = F.struct(*[F.col(c) for c in columns])
-    per_key = (
+    per_key = stage(
         both.groupBy(*keys)
         .agg(
             F.count_if(left).alias("_na"),
@@ -158,11 +174,13 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.min(F.when(left, row)).alias("_a"),
             F.min(F.when(right, row)).alias("_b"),
         )
-        .where("_na > 0 AND _nb > 0")
+        .where("_na > 0 AND _nb > 0"),
+        "diff-keys",
     )
+    pairs = F.col("_na").cast("decimal(19,0)") * F.col("_nb").cast("decimal(19,0)")
     single = (F.col("_na") == 1) & (F.col("_nb") == 1)
     direct = per_key.agg(
-        F.sum(F.col("_na") * F.col("_nb")).alias("_pairs"),
+        F.coalesce(F.sum(pairs), F.lit(0)).cast("decimal(38,0)").alias("_pairs"),
         *[
             F.count_if(single & (F.col(f"_a.{c}") == F.col(f"_b.{c}"))).alias(f"e{i}")
             for i, c in enumerate(columns)
@@ -175,20 +193,14 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
                     F.struct(
                         F.lit(c).alias("column"),
                         F.col("_pairs").alias("pairs"),
-                        F.col(f"e{i}").alias("equal"),
+                        F.col(f"e{i}").cast("decimal(38,0)").alias("equal"),
                     )
                     for i, c in enumerate(columns)
                 ]
             )
         )
     )
-    # The explicit repartition leaves plain shuffles on both sides of the join, which lets
-    # adaptive execution split a partition that holds a hot key.
-    repeated = (
-        per_key.where(~single)
-        .select(*[F.col(k).alias(f"_k{k}") for k in keys])
-        .repartition(*[f"_k{k}" for k in keys])
-    )
+    repeated = per_key.where(~single).select(*[F.col(k).alias(f"_k{k}") for k in keys])
     on = [both[k] == repeated[f"_k{k}"] for k in keys]
     floating = {f.name for f in both.schema if f.dataType.typeName() in ("float", "double")}
     cells = F.array(
@@ -210,17 +222,20 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         .agg(F.count_if(left).alias("_na"), F.count_if(right).alias("_nb"))
     )
     repeated_rows = per_value.groupBy("column").agg(
-        F.lit(0).cast("bigint").alias("pairs"),
-        F.sum(F.col("_na") * F.col("_nb")).alias("equal"),
+        F.lit(0).cast("decimal(38,0)").alias("pairs"),
+        F.sum(pairs).cast("decimal(38,0)").alias("equal"),
     )
     totals = (
         direct_rows.unionByName(repeated_rows)
         .groupBy("column")
-        .agg(F.sum("pairs").alias("_pairs"), F.sum("equal").alias("equal"))
+        .agg(
+            F.sum("pairs").cast("decimal(38,0)").alias("_pairs"),
+            F.sum("equal").cast("decimal(38,0)").alias("equal"),
+        )
     )
     return totals.select(
         "column",
         "equal",
-        (F.col("_pairs") - F.col("equal")).alias("different"),
+        (F.col("_pairs") - F.col("equal")).cast("decimal(38,0)").alias("different"),
         percent(F.col("equal"), F.col("_pairs")).alias("percent_equal"),
     ).orderBy(F.desc("percent_equal"), F.asc("column"))

@@ -23,12 +23,27 @@ def ensure_columns(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     return df.select("*", *missing) if missing else df
 
 
+def text_of(c: Column, held: T.DataType) -> Column:
+    """A raw value as text, by its type.
+
+    Numbers with a fraction part are written out plainly: whole ones without a point, so that an
+    integer column that a writer stored as double keeps its values, and small ones without an
+    exponent. What is no number (NaN, infinity) is null.
+    """
+    if not isinstance(held, (T.FractionalType,)):
+        return c.cast("string")
+    text = c.cast("string")
+    plain = text.try_cast("decimal(38,12)").cast("string")
+    short = F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", "")
+    return F.coalesce(short, text.try_cast("decimal(38,0)").cast("string"))
+
+
 def as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Canonical text projection: missing columns become null, others are dropped."""
-    present = set(df.columns)
+    held = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            (F.col(c) if c in present else F.lit(None)).cast("string").alias(c)
+            (text_of(F.col(c), held[c]) if c in held else F.lit(None).cast("string")).alias(c)
             for c in columns
         ]
     )

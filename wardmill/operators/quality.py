@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wardmill.operators.keys import orphan_counts
 
-SCORE_COLUMNS = ("check_name", "table_name", "column_name", "violations", "passed")
+SCORE_COLUMNS = ("check_name", "table_name", "column_name", "violations", "passed", "reason")
 
 
 @dataclass(frozen=True)
@@ -151,25 +151,52 @@ def _score_keys(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
         counted = found.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("violations"))
     else:
         counted = found.agg(F.count("*").alias("violations"))
-    column = check.column if isinstance(check, DistinctPerKeyCheck) else "+".join(check.columns)
     return counted.select(
         F.lit(check.name).alias("check_name"),
         F.lit(check.table).alias("table_name"),
-        F.lit(column).alias("column_name"),
+        F.lit(column_of(check)).alias("column_name"),
         "violations",
     )
 
 
+def absent_tables(tables: Mapping[str, DataFrame], check: Check) -> list[str]:
+    """Tables that a check needs and that are not there."""
+    needed = [check.table, check.to_table] if isinstance(check, RelationshipCheck) else [check.table]
+    return [name for name in dict.fromkeys(needed) if name not in tables]
+
+
+def column_of(check: Check) -> str:
+    if isinstance(check, (RowCheck, DistinctPerKeyCheck)):
+        return check.column
+    return "+".join(check.columns)
+
+
 def scorecard(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: violations and whether it passed."""
+    """One row per check: violations and whether it passed.
+
+    A check that needs an absent table has null violations, has not passed, and gives the reason.
+    """
     by_table: dict[str, list[RowCheck]] = {}
     keyed: list[Check] = []
+    absent: list[tuple] = []
     for check in checks:
-        if isinstance(check, RowCheck):
+        missing = absent_tables(tables, check)
+        if missing:
+            reason = f"no table {', '.join(missing)}"
+            absent.append((check.name, check.table, column_of(check), None, False, reason))
+        elif isinstance(check, RowCheck):
             by_table.setdefault(check.table, []).append(check)
         else:
             keyed.append(check)
     parts = [_score_rows(tables[name], group) for name, group in by_table.items()]
     parts += [_score_keys(tables, check) for check in keyed]
-    scored = reduce(DataFrame.unionByName, parts)
-    return scored.select("*", (F.col("violations") == 0).alias("passed"))
+    found = []
+    if parts:
+        scored = reduce(DataFrame.unionByName, parts)
+        passed = (F.col("violations") == 0).alias("passed")
+        found.append(scored.select("*", passed, F.lit(None).cast("string").alias("reason")))
+    if absent or not parts:
+        spark = next(iter(tables.values())).sparkSession
+        schema = "check_name string, table_name string, column_name string, violations long, "
+        found.append(spark.createDataFrame(absent, schema + "passed boolean, reason string"))
+    return reduce(DataFrame.unionByName, found)

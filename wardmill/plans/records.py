@@ -38,7 +38,7 @@ COLUMNS = (
 # Integer columns by width, and the other column groups.
 INTEGERS = {
     "bigint": ("N_AIH", "CNES", "CEP", "PROC_REA"),
-    "int": ("DIAR_ACOM", "UTI_MES_TO", "UTI_INT_TO", "codigo_6d", "NAT_JUR", "CBOR"),
+    "int": ("DIAR_ACOM", "UTI_MES_TO", "UTI_INT_TO", "NAT_JUR", "CBOR"),
     "smallint": ("IDADE", "DIAS_PERM", "NACIONAL", "GESTAO", "NATUREZA"),
     "tinyint": ("SEXO", "NUM_FILHOS", "RACA_COR", "INSTRU", "COMPLEX"),
 }
@@ -127,9 +127,11 @@ def contract_records(treated: DataFrame) -> DataFrame:
     """One row per case id.
 
     Money is summed, bed days are averaged, everything else comes from the earliest row: known
-    admission date first, then discharge and procedure, then the remaining columns.
+    admission date first, then known discharge, then procedure and the remaining columns.
     """
-    order = [F.col("DT_INTER").isNull(), "DT_INTER", "DT_SAIDA", "PROC_REA"]
+    order = [
+        F.col("DT_INTER").isNull(), "DT_INTER", F.col("DT_SAIDA").isNull(), "DT_SAIDA", "PROC_REA",
+    ]
     return contract(
         treated,
         key=("N_AIH",),

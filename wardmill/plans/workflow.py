@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from wardmill.operators.profile import completeness
 from wardmill.plans.audit import audit, declared_checks, key_checks, written_checks
 from wardmill.plans.model import TABLES, load_order
-from wardmill.plans.records import COLUMNS, contract_records, treat
+from wardmill.plans.records import COLUMNS, contract_records, treat, unidentified
 from wardmill.plans.star import star_tables
+from wardmill.session import drop_staged
 from wardmill.sinks.writers import (
     load_all,
     parquet_writer,
@@ -76,9 +77,11 @@ def unify(spark: SparkSession, at: Layout, columns: Sequence[str] = COLUMNS) ->
     return {"rows": rows, "files": len(ingest.read), "skipped": ingest.skipped}
 
 
-def report_completeness(spark: SparkSession, at: Layout) -> None:
-    report = completeness(spark.read.parquet(at.unified))
-    write_csv(report, f"{at.reports}/completeness", single_file=True)
+def report_stage(spark: SparkSession, at: Layout) -> int:
+    """Completeness by column, and the records whose id cannot be read; returns how many."""
+    unified = spark.read.parquet(at.unified)
+    write_csv(completeness(unified), f"{at.reports}/completeness", single_file=True)
+    return write_parquet(unidentified(unified), f"{at.reports}/unidentified")
 
 
 def treat_stage(spark: SparkSession, at: Layout) -> str:
@@ -111,17 +114,18 @@ def load_stage(spark: SparkSession, at: Layout, write=None) -> dict[str, int]:
 
 def audit_stage(spark: SparkSession, at: Layout) -> DataFrame:
     tables = read_tables(spark, at.loaded)
-    return audit(tables, declared_checks() + written_checks() + key_checks(tables))
+    return audit(tables, declared_checks() + written_checks() + key_checks())
 
 
 def run_all(spark: SparkSession, at: Layout) -> Mapping[str, object]:
     """Every stage once; returns what each reports."""
     out: dict[str, object] = {"unify": unify(spark, at)}
-    report_completeness(spark, at)
+    out["unidentified"] = report_stage(spark, at)
     out["treat"] = treat_stage(spark, at)
     out["contract"] = contract_stage(spark, at)
     out["split"] = split_stage(spark, at)
     out["load"] = load_stage(spark, at)
+    drop_staged(spark)  # what was staged has been loaded
     out["audit"] = audit_stage(spark, at)
     return out
 

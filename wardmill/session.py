@@ -47,25 +47,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/wardmill-{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back, which cuts the lineage.
 
     A written table keeps column pruning for its readers and survives lost executors. The
-    tables of one application share a folder, which can be dropped when it has ended.
+    tables of one application share a folder; ``drop_staged`` removes it once what depends on
+    them has been written.
     """
     spark = df.sparkSession
-    folder = f"{shared_dir(spark).rstrip('/')}/wardmill-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Share rows out if the scan has fewer tasks than there are cores.
-
-    A file is split by its row groups, so a small table may be one task. A table with enough
-    row groups is left as it is, without a shuffle. ``by`` names columns to spread by, which
-    saves the sort that an even distribution needs to be repeatable.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+def drop_staged(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -75,11 +75,13 @@ def prepare(df: DataFrame, table: str) -> DataFrame:
 def load_all(tables: Mapping[str, DataFrame], write) -> dict[str, int]:
     """Full refresh in reference order; ``write(name, rows)`` replaces a table, returns its size.
 
-    An empty input leaves the table as it is.
+    An empty input leaves the table as it is, unless a table it refers to was replaced: its old
+    rows would then refer to rows that are gone, so it is replaced by an empty one.
     """
     loaded = {}
     for name in load_order(tables):
-        if tables[name].isEmpty():
+        parents = {r.to_table for r in TABLES[name].references}
+        if tables[name].isEmpty() and not parents & loaded.keys():
             continue
         loaded[name] = write(name, prepare(tables[name], name))
     return loaded
@@ -99,13 +101,16 @@ def catalog_writer(database: str, buckets: int | None = None):
 
     def write(name: str, df: DataFrame) -> int:
         seen = Observation()
+        bucketed = buckets and TABLES[name].primary_key == (CASE,)
+        if bucketed:  # one file for each bucket, not one for each task and bucket
+            df = df.repartition(buckets, CASE)
         writer = (
             df.observe(seen, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .format("parquet")
             .option("compression", COMPRESSION)
         )
-        if buckets and TABLES[name].primary_key == (CASE,):
+        if bucketed:
             writer = writer.bucketBy(buckets, CASE).sortBy(CASE)
         writer.saveAsTable(f"{database}.{name}")
         return seen.get["rows"]
@@ -125,6 +130,7 @@ def jdbc_writer(url: str, options: Mapping[str, str] | None = None):
             .option("url", url)
             .option("dbtable", name)
             .option("truncate", "true")
+            .option("cascadeTruncate", "true")
             .option("createTableColumnTypes", relational_columns(TABLES[name]))
         )
         for key, value in (options or {}).items():

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs as fs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,9 @@ from pyspark.sql import types as T
 
 from wardmill.operators.project import as_text
 
-FOOTER_THREADS = 16
+FOOTERS_PER_TASK = 256
+# What Spark calls a path that holds no table.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def discover(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
@@ -49,12 +53,31 @@ class Ingest:
     skipped: list[str]
 
 
-def _schema_of(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema from the footer; None if the file cannot be read."""
-    try:
-        return spark.read.parquet(path).schema
-    except Exception:  # any unreadable file is skipped and reported
-        return None
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each file's columns and types as text, null if it has no readable parquet footer.
+
+    Whatever else goes wrong, a missing permission or a store that does not answer, is raised.
+    """
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            store, name = fs.FileSystem.from_uri(path)
+            with store.open_input_file(name) as file:
+                try:
+                    # Only names and types count; other metadata differs between equal schemas.
+                    found.append(pq.read_schema(file).remove_metadata().to_string())
+                except pa.ArrowInvalid:
+                    found.append(None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("path"), pa.array(found, pa.string())], ["path", "footer"]
+        )
+
+
+def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path`` and ``footer`` of the files, read by tasks in one pass."""
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    tasks = max(1, -(-len(paths) // FOOTERS_PER_TASK))
+    return listed.repartition(tasks).mapInArrow(_footers, "path string, footer string")
 
 
 def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> Ingest:
@@ -63,26 +86,22 @@ def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Sequence[s
     A file without a readable footer is left out and listed; one that breaks off later fails
     the job, so that no rows go missing unseen.
 
-    Only footers pass through the driver. Files with equal schemas are read by one scan, so
-    the plan grows with the number of distinct schemas and not with the number of files. One
-    scan cannot hold an integer and a text column of the same name, hence the grouping.
+    Footers are read by tasks; the driver gets the paths of each distinct schema. Files with
+    equal schemas are read by one scan, so jobs and plan grow with the number of distinct
+    schemas and not with the number of files. One scan cannot hold an integer and a text column
+    of the same name, hence the grouping.
     """
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        schemas = list(pool.map(lambda p: _schema_of(spark, p), paths))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    skipped = []
-    for path, schema in zip(paths, schemas):
-        if schema is None:
-            skipped.append(path)
-        else:
-            groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    if not groups:
+    grouped = footers(spark, paths).groupBy("footer").agg(F.sort_array(F.collect_list("path")))
+    by_schema = {footer: members for footer, members in grouped.collect()}
+    skipped = by_schema.pop(None, [])
+    if not by_schema:
         raise FileNotFoundError("no readable file among those listed")
+    groups = [members for _, members in sorted(by_schema.items())]
     frames = [
-        as_text(spark.read.schema(schema).parquet(*members), columns)
-        for schema, members in groups.values()
+        as_text(spark.read.schema(spark.read.parquet(members[0]).schema).parquet(*members), columns)
+        for members in groups
     ]
-    read = [p for _, members in groups.values() for p in members]
+    read = [p for members in groups for p in members]
     return Ingest(reduce(DataFrame.unionByName, frames), sorted(read), skipped)
 
 
@@ -98,11 +117,6 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     )
 
 
-def capped_rows(counts: DataFrame, count_column: str, cap: int, name: str = "capped") -> DataFrame:
-    """Sum of counts, each counted up to ``cap`` (a sampled total)."""
-    return counts.agg(F.sum(F.least(F.col(count_column), F.lit(cap))).alias(name))
-
-
 # The lookup files are Latin-1.
 LOOKUP_ENCODING = "ISO-8859-1"
 
@@ -117,7 +131,9 @@ def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
             .option("escape", '"')
             .csv(path)
         )
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ABSENT:
+            raise
         return None
 
 
@@ -126,7 +142,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ABSENT:
+            raise
         return False
 
 
