@@ -43,7 +43,7 @@ Tape = tuple[str, list[int], list[int], list[bool]]
 _HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _DIGIT = re.compile("[0-9]")
-_NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_NUMBERS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
