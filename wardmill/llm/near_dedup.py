@@ -265,10 +265,18 @@ def group(docs: DataFrame, shingle: int = 5, percent: int = 80, slots: int = SLO
         "near-bits",
     )
 
+    # With all its bands beside it, a pair can tell the first one it shares, and is made there only.
+    described = packed.join(classes.select("rep", "bands"), "rep")
+
     def side(name: str) -> DataFrame:
         bits = [F.get("bits", i).alias(f"{name}{i}") for i in range(BITS // 64)]
-        return open_.join(packed, "rep").select("key", "rep", "n", "component", *bits).alias(name)
+        return (
+            open_.join(described, "rep")
+            .select("key", "rep", "n", "component", "bands", *bits)
+            .alias(name)
+        )
 
+    shared_bands = F.array_intersect(F.col("p.bands"), F.col("q.bands"))
     rest = (
         side("p")
         .join(
@@ -277,10 +285,10 @@ def group(docs: DataFrame, shingle: int = 5, percent: int = 80, slots: int = SLO
             & (F.col("p.rep") < F.col("q.rep"))
             & (F.col("p.component") != F.col("q.component"))
             & _alike_in_size(percent, F.col("p.n"), F.col("q.n"))
-            & _bits_alike(percent),
+            & _bits_alike(percent)
+            & (F.array_min(shared_bands) == F.col("p.key")),
         )
         .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
-        .distinct()
         .join(led, ["a", "b"], "left_anti")
     )
     more = stage(_verified(rest, sets, percent), "near-links")
