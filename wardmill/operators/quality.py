@@ -1,7 +1,7 @@
 """Declarative checks: each is a frame of violating rows; a scorecard counts them.
 
-All row-level checks of one table are counted in a single aggregation over it. Key checks
-(unique, relationship, distinct-per-key) aggregate by key before anything else.
+All row-level checks of one table are counted in a single aggregation over it, and all unique and
+relationship checks of all tables in another one. Distinct-per-key checks aggregate by key first.
 """
 
 from __future__ import annotations
@@ -145,12 +145,8 @@ def _score_rows(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def _score_keys(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    found = violations(tables, check)
-    if isinstance(check, RelationshipCheck):
-        counted = found.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("violations"))
-    else:
-        counted = found.agg(F.count("*").alias("violations"))
+def _score_many(tables: Mapping[str, DataFrame], check: DistinctPerKeyCheck) -> DataFrame:
+    counted = violations(tables, check).agg(F.count("*").alias("violations"))
     return counted.select(
         F.lit(check.name).alias("check_name"),
         F.lit(check.table).alias("table_name"),
@@ -159,6 +155,70 @@ def _score_keys(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
     )
 
 
+def _key_text(columns: Sequence[str]) -> Column:
+    """A key as text, null if a member is; keys of different integer widths read the same."""
+    parts = [F.col(c).cast("string") for c in columns]
+    whole = parts[0] if len(parts) == 1 else F.to_json(F.struct(*parts))
+    return F.when(reduce(lambda a, b: a & b, [p.isNotNull() for p in parts]), whole)
+
+
+def _score_keys(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All unique and relationship checks by one aggregation.
+
+    Every table is scanned once and gives, for each group of keys it takes part in, its key as a
+    child or as a parent. Keys are counted by group, with partial counts on the map side, so each
+    is one row in the only exchange. Checks of one key share a group.
+    """
+    groups: dict[tuple, int] = {}
+    uses: dict[str, list[Column]] = {}
+
+    def use(table: str, columns: Sequence[str], number: int, child: int) -> None:
+        key = F.struct(
+            F.lit(number).alias("g"), _key_text(columns).alias("k"),
+            F.lit(child).cast("long").alias("child"), F.lit(1 - child).alias("parent"),
+        )
+        uses.setdefault(table, []).append(key)
+
+    listed = []
+    for check in checks:
+        to = (check.to_table, check.to_columns) if isinstance(check, RelationshipCheck) else ()
+        group = (check.table, check.columns, *to)
+        if group not in groups:
+            groups[group] = len(groups)
+            use(check.table, check.columns, groups[group], 1)
+            if to:
+                use(*to, groups[group], 0)
+        listed.append(
+            F.struct(
+                F.lit(check.name).alias("check_name"),
+                F.lit(check.table).alias("table_name"),
+                F.lit(column_of(check)).alias("column_name"),
+                F.lit(groups[group]).alias("g"),
+                F.lit(bool(to)).alias("refers"),
+            )
+        )
+    keys = [
+        tables[name].select(F.inline(F.array(*found))).where("k IS NOT NULL")
+        for name, found in uses.items()
+    ]
+    counted = (
+        reduce(DataFrame.unionByName, keys)
+        .groupBy("g", "k")
+        .agg(F.sum("child").alias("n"), F.max("parent").alias("known"))
+        .groupBy("g")
+        .agg(
+            F.count_if(F.col("n") > 1).alias("repeated"),
+            F.sum(F.when(F.col("known") == 0, F.col("n")).otherwise(0)).alias("orphans"),
+        )
+    )
+    named = counted.sparkSession.range(1).select(F.inline(F.array(*listed)))
+    found = F.when(F.col("refers"), F.col("orphans")).otherwise(F.col("repeated"))
+    return named.join(counted, "g", "left").select(
+        "check_name", "table_name", "column_name",
+        F.coalesce(found, F.lit(0)).cast("long").alias("violations"),
+    )
+
+
 def absent_tables(tables: Mapping[str, DataFrame], check: Check) -> list[str]:
     """Tables that a check needs and that are not there."""
     needed = [check.table, check.to_table] if isinstance(check, RelationshipCheck) else [check.table]
@@ -178,6 +238,7 @@ def scorecard(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
     """
     by_table: dict[str, list[RowCheck]] = {}
     keyed: list[Check] = []
+    many: list[DistinctPerKeyCheck] = []
     absent: list[tuple] = []
     for check in checks:
         missing = absent_tables(tables, check)
@@ -186,10 +247,13 @@ def scorecard(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
             absent.append((check.name, check.table, column_of(check), None, False, reason))
         elif isinstance(check, RowCheck):
             by_table.setdefault(check.table, []).append(check)
+        elif isinstance(check, DistinctPerKeyCheck):
+            many.append(check)
         else:
             keyed.append(check)
     parts = [_score_rows(tables[name], group) for name, group in by_table.items()]
-    parts += [_score_keys(tables, check) for check in keyed]
+    parts += [_score_keys(tables, keyed)] if keyed else []
+    parts += [_score_many(tables, check) for check in many]
     found = []
     if parts:
         scored = reduce(DataFrame.unionByName, parts)
