@@ -110,14 +110,20 @@ def contaminated(
         .distinct(),
         "bench-hits",
     )
-    found = whole.join(hits, same_document(whole, hits)).select(
-        whole["id"], whole["digest"], "item", "start", _hashes(F.col("body")).alias("words")
+    # All offsets of an item in a document together, so that its words are read once for them.
+    offsets = hits.groupBy("id", "digest", "item").agg(F.collect_list("start").alias("starts"))
+    found = whole.join(offsets, same_document(whole, offsets)).select(
+        whole["id"], whole["digest"], "item", "starts", _hashes(F.col("body")).alias("words")
     )
     laid = found.join(items, "item").select(
         "id", "digest", "item_id", F.size("hashes").alias("item_words"),
-        let(
-            F.struct("words", "hashes"),
-            lambda s: _best(s["words"], s["hashes"], F.col("start"), window),
+        F.explode(
+            let(
+                F.struct("words", "hashes"),
+                lambda s: F.transform(
+                    F.col("starts"), lambda start: _best(s["words"], s["hashes"], start, window)
+                ),
+            )
         ).alias("laid"),
     )
     needed = F.ceil(F.least("item_words", F.lit(window)) * F.lit(share).cast("decimal(9,6)"))
