@@ -76,20 +76,21 @@ def _variants(chars: Column, side: Column, shorter: Column, half: Column) -> Col
             def variant(i: Column) -> Column:
                 left = whole - F.get(bond, i) - F.get(bond, i + 1) + _pair_hash(at(i - 1), at(i + 1))
                 same_length = F.when(shorter == size, i).otherwise(F.lit(-1))
-                key = F.xxhash64(half, shorter, same_length, left)
-                return F.struct(key.alias("key"), F.lit(False).alias("whole"))
+                return F.xxhash64(half, shorter, same_length, left)
 
             first = F.when(side == 0, split).otherwise(F.lit(0))
             # side 1 shares the last ``split`` characters: the edit is before them
             last = F.when(side == 0, size - 1).otherwise(size - split - 1)
-            deleted = F.transform(F.sequence(first, last), variant)
+            # made distinct as longs, which takes time in proportion to them
+            deleted = F.transform(
+                F.array_distinct(F.transform(F.sequence(first, last), variant)),
+                lambda key: F.struct(key.alias("key"), F.lit(False).alias("whole")),
+            )
             own = F.struct(
                 F.xxhash64(half, shorter, F.lit(-1), whole).alias("key"),
                 F.lit(True).alias("whole"),
             )
-            return F.array_distinct(
-                F.when(shorter == size, F.concat(deleted, F.array(own))).otherwise(deleted)
-            )
+            return F.when(shorter == size, F.concat(deleted, F.array(own))).otherwise(deleted)
 
         return let(total, keys)
 
