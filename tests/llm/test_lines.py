@@ -89,3 +89,25 @@ def test_repeated_rows_nulls_and_nothing(documents):
     rows = sorted(map(tuple, line_dedup.line_counts(docs).drop("kept").collect()), key=str)
     assert rows == [(1, 1, 0), (1, 1, 0), (None, 2, 1)]
     assert line_dedup.line_counts(docs.limit(0)).count() == 0
+
+
+def test_an_earlier_permuted_line_hides_no_near_line(documents):
+    """Lines with the same pairs of neighbours in another order are no partners of one key."""
+    rng = random.Random(9)
+    texts = []
+    for start, end in (("Answer key of part two, row:", ""), ("", "of the answer key, by row.")):
+        for _ in range(3):
+            cells = [rng.choice("ABCD") for _ in range(12)]
+            permuted = cells[:]
+            while near("".join(permuted), "".join(cells)):
+                rng.shuffle(permuted)
+            for last in (permuted, cells, [*cells[:4], "X", *cells[5:]], [*cells[:7], "YZ", *cells[8:]]):
+                texts.append(" ".join([start, *last, end]))
+    texts += [f"Answer key of part two, row: {row}" for row in ("B D C A", "B D C X", "B C D X", "B C D Y")]
+    for row in ("B D C A", "D C B A", "C B D A", "B C D A", "D B C A", "B D A C"):
+        texts += [f"Answer key of part two, row: {row} {end}" for end in "XYZ"]
+        texts += [f"Answer key of part two, row: {row[:3]}{row[4:]} W"]
+    rng.shuffle(texts)
+    for order in (texts, texts[::-1]):
+        rows = line_dedup.line_counts(documents(order)).collect()
+        assert {r.doc_id: r.n_removed for r in rows} == {i: len(g) for i, g in enumerate(brute(order))}
