@@ -86,3 +86,15 @@ def test_estimates_are_never_below_the_truth():
             windows.setdefault(tuple(flat[p : p + s.WINDOW]), []).append(p)
         for places in windows.values():
             assert chosen[int(low[places[0]])] >= len(places)
+
+
+def test_the_text_that_is_left_is_given(documents):
+    """Also where the texts of a batch make several chunks."""
+    texts = [*cases(), *ODD, "é \U0001f600\tz", " ".join(f"w{i}" for i in range(140_000)), "after it"]
+    rows = {r.doc_id: r for r in s.dedup(documents(texts)).collect()}
+    for i, (n_words, n_removed, digest) in enumerate(brute(texts)):
+        r = rows[i]
+        assert (r.n_words, r.n_removed) == (n_words, n_removed)
+        assert hashlib.sha256(r.kept.encode()).hexdigest() == digest == r.kept_sha256
+        assert len(r.kept.split()) == n_words - n_removed
+    assert rows[len(texts) - 3].kept == "é \U0001f600 z" and rows[len(texts) - 1].kept == "after it"

@@ -98,7 +98,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of 20 words that starts earlier too."""
-    return substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("digest")
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
 
 
 QUERIES = {

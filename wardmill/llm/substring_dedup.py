@@ -28,7 +28,6 @@ any length is taken whole, by one task.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -248,15 +247,15 @@ def _windows(sketch: Sketch):
 
 
 def _removed(sketch: Sketch):
-    """Words of each document, how many go, and the digest or text of the others."""
+    """Words of each document, how many go, and the text of the others, joined by one blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
             texts = batch.column("body").to_pylist()
             firsts = batch.column("firsts").to_pylist()
-            total, gone, kept_texts = [], [], []
             for first, flat, lengths in word_chunks(texts, known):
+                gone, kept_texts = [], []
                 low, inside, _ = _anchors(flat, lengths)
                 ends = np.cumsum(lengths)
                 repeated = np.zeros(len(flat) + 1, np.int64)
@@ -272,25 +271,28 @@ def _removed(sketch: Sketch):
                 for i, n in enumerate(lengths):
                     words = covered[ends[i] - n : ends[i]] > 0
                     found = split_words(texts[first + i])
-                    total.append(int(n))
                     gone.append(int(words.sum()))
                     kept_texts.append(
                         b" ".join([w for w, c in zip(found, words.tolist(), strict=True) if not c])
                     )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"), batch.column("digest"),
-                    pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                    pa.array([hashlib.sha256(t).hexdigest() for t in kept_texts], pa.string()),
-                ],
-                ["doc_id", "digest", "n_words", "n_removed", "kept_sha256"],
-            )
+                n = len(lengths)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(first, n) for c in ("id", "digest")),
+                        pa.array(lengths, pa.int64()), pa.array(gone, pa.int64()),
+                        pa.array(kept_texts, pa.string()),
+                    ],
+                    ["doc_id", "digest", "n_words", "n_removed", "kept"],
+                )
 
     return run
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``digest``, ``n_words``, ``n_removed``, ``kept_sha256`` of every row."""
+    """``doc_id``, ``digest``, ``n_words``, ``n_removed``, ``kept``, ``kept_sha256`` of every row.
+
+    ``kept`` is the text that is left, its words joined by one blank.
+    """
     spark = docs.sparkSession
     whole = keyed(docs).select("id", "digest", "body")
     sketch = Sketch(spark, whole)
@@ -308,5 +310,5 @@ def dedup(docs: DataFrame) -> DataFrame:
     )
     return joined.mapInArrow(
         _removed(sketch),
-        "doc_id long, digest long, n_words long, n_removed long, kept_sha256 string",
-    )
+        "doc_id long, digest long, n_words long, n_removed long, kept string",
+    ).withColumn("kept_sha256", F.sha2("kept", 256))
