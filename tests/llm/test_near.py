@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from math import comb
 
 import numpy as np
 from odd import ODD
@@ -135,3 +136,19 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(links, "a long, b long").repartition(7)
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {x: root(x) for x in label if root(x) != x}
+
+
+def test_bits_lose_fewer_pairs_than_bands(spark):
+    """Of pairs just at the similarity, by the binomial tail beyond the most bits let through."""
+    longs, bits = near_dedup.BITS // 64, near_dedup.BITS
+    rows = []
+    for differing in range(80, 400):
+        flags = np.zeros(bits, np.uint8)
+        flags[:differing] = 1
+        rows.append((differing, *np.packbits(flags).view(np.int64).tolist()))
+    pairs = spark.createDataFrame(rows, ["differing", *[f"p{i}" for i in range(longs)]])
+    pairs = pairs.selectExpr("*", *[f"0L AS q{i}" for i in range(longs)])
+    most = max(r.differing for r in pairs.where(near_dedup._bits_alike(80)).collect())
+    lost = sum(comb(bits, k) * 0.1**k * 0.9 ** (bits - k) for k in range(most + 1, bits + 1))
+    bands = (1 - 0.8 ** (near_dedup.SLOTS // near_dedup.BANDS)) ** near_dedup.BANDS
+    assert lost < bands

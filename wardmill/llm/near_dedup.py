@@ -12,7 +12,7 @@ smallest of its group, on full sets, and the links found are grouped into compon
 members of one group that are still in different components are compared, if 1024 bits of their
 signatures are as alike as the similarity asks, so groups of half-alike documents make few pairs.
 What remains unseen is what signatures miss: of pairs just at similarity 0.8, one in 20 million
-shares no band, and one in 300,000 differs in too many bits.
+shares no band, and one in 120 million differs in too many bits.
 
 Defined results: texts without words have an empty set and no link; a row without doc_id has no
 link and stands for itself; a doc_id names one document, so repeated rows are that document and
@@ -34,6 +34,7 @@ from wardmill.session import stage
 
 SLOTS, BANDS = 128, 32
 BITS = 1024  # of the packed signatures that candidates of open groups are compared by
+DEVIATIONS = 6  # by which these may differ more than expected of a pair just at the similarity
 EMPTY = np.int64(2**62)
 
 
@@ -176,12 +177,12 @@ def _bits_of(slots: int):
 def _bits_alike(percent: int) -> Column:
     """Whether packed bits ``p`` and ``q`` differ no more than those of sets as alike as asked.
 
-    Minima differ in a share of 1 - similarity, and half of those in their bit. The limit is 4.5
-    standard deviations above that, which one in 300,000 pairs just at the similarity exceeds.
+    Minima differ in a share of 1 - similarity, and half of those in their bit. The limit is six
+    standard deviations above that, which one in 120 million pairs just at 0.8 exceeds (binomial).
     """
     differ = sum(F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(BITS // 64))
     share = (1 - percent / 100) / 2
-    return differ <= BITS * share + 4.5 * (BITS * share * (1 - share)) ** 0.5
+    return differ <= BITS * share + DEVIATIONS * (BITS * share * (1 - share)) ** 0.5
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
