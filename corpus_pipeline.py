@@ -29,8 +29,12 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words each document gives to a mix of the sources."""
-    return mix.mix(docs).drop("digest")
+    """The mix of the sources: ``texts`` holds what each document gives, repeats included.
+
+    One row per document, also if it gives nothing; the lists together are the mixed corpus.
+    """
+    plan = stage(mix.mix(docs), "mix-plan")
+    return mix.given(docs, plan).drop("digest")
 
 
 STAGES = [

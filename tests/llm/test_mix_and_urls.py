@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from math import floor
 
+import corpus_pipeline
 from odd import ODD
 
 from wardmill.llm import mix, url_filter
@@ -53,6 +54,18 @@ def test_mixed_texts_hold_the_words_taken(documents):
     assert found == {r.doc_id: r.taken for r in plan.collect() if r.taken}
 
 
+def test_the_last_stage_gives_the_mixed_texts(spark, documents):
+    """Whole copies, the part at the cut, and nothing twice for repeated rows."""
+    texts = [" ".join(f"w{j}" for j in range(1 + i % 5)) for i in range(40)]
+    docs = documents([*enumerate(texts), *[(7, texts[7])] * 5, (None, "a\tb c"), (50, None)])
+    rows = corpus_pipeline.mixed(spark, docs, "").collect()
+    assert len(rows) == 47 and any(r.taken % r.size for r in rows if r.size)
+    for r in rows:
+        body = {None: "a\tb c", 50: ""}.get(r.doc_id) if r.doc_id in (None, 50) else texts[r.doc_id]
+        copies, rest = divmod(r.taken, r.size) if r.size else (0, 0)
+        assert r.texts == [body] * copies + [" ".join(body.split()[:rest])] * (rest > 0)
+
+
 def test_mix_of_nothing_and_of_repeated_rows(documents, spark):
     assert mix.mix(documents(["a"]).limit(0)).count() == 0
     twice = documents([(1, "a b c")] * 3 + [(None, "d e"), (None, None)])

@@ -122,3 +122,24 @@ def mixed_texts(docs: DataFrame, plan: DataFrame) -> DataFrame:
             .alias("body"),
         )
     )
+
+
+def given(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows of ``plan`` with ``texts``, what each gives to the mix, repeats included.
+
+    ``taken // size`` whole copies, and at a source's cut the first words of one more; a document
+    of which nothing is taken gives an empty list. Repeated rows each give what their own row of
+    the plan takes, so the lists hold exactly the words taken.
+    """
+    bodies = keyed(docs).groupBy("id", "digest").agg(F.first("body").alias("body"))
+    named = plan.withColumnRenamed("doc_id", "id")
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    whole = F.array_repeat("body", F.floor(F.col("taken") / F.col("size")).cast("int"))
+    first = F.array_join(F.slice(words(F.col("body")), 1, rest), " ")
+    texts = F.when(F.col("taken") == 0, F.array().cast("array<string>")).otherwise(
+        F.when(rest == 0, whole).otherwise(F.concat(whole, F.array(first)))
+    )
+    return named.join(bodies, same_document(named, bodies)).select(
+        *[named["id"].alias("doc_id") if c == "doc_id" else named[c] for c in plan.columns],
+        texts.alias("texts"),
+    )
