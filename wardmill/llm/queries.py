@@ -14,6 +14,7 @@ from wardmill.llm import (
     near_dedup,
     pii,
     quality,
+    spelling,
     substring_dedup,
     url_filter,
 )
@@ -103,6 +104,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its usual form and the root its forms lead to."""
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_url_filter": op2_url_filter,
@@ -114,6 +120,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_spelling": op13_spelling,
 }
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -257,4 +264,49 @@ ORACLE = {
         SELECT l.doc_id, len(l.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
             sha256(coalesce(k.text, '')) AS kept_sha256
         FROM lists l LEFT JOIN kept k ON l.doc_id = k.doc_id""",
+    "op13_spelling": rf"""
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1
+                THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY i) AS entry
+            FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS i)),
+        runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, {_A_TO_Z}), '[A-Za-zÀ-ÿ]+')) AS run
+            FROM documents),
+        once AS (
+            SELECT run, count(*) AS k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run)) AS h
+            FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+        summed AS (
+            SELECT run, k, xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || list_transform(
+                generate_series(1, CAST(len(h) / 2 AS BIGINT)),
+                lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT)),
+                lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1]))) AS h
+            FROM once, crc),
+        marked AS (
+            SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word, k FROM summed),
+        words AS (
+            SELECT word, CAST(sum(k) AS BIGINT) AS n FROM marked
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+        variants AS (
+            SELECT word, n, 0 AS pos, word AS variant FROM words
+            UNION ALL SELECT word, n, i, left(word, i - 1) || substr(word, i + 1)
+            FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)),
+        pairs AS (
+            SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n
+            FROM variants a JOIN variants b ON a.variant = b.variant AND a.word <> b.word
+            WHERE a.pos = 0 OR b.pos = 0 OR a.pos = b.pos),
+        best AS (
+            SELECT word, count(*) AS n_near,
+                min((-near_n, encode(near), near)) FILTER (near_n >= 5 * n) AS b
+            FROM pairs GROUP BY word),
+        formed AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, b[3] AS form, -b[1] AS form_n
+            FROM words w LEFT JOIN best ON w.word = best.word),
+        chain AS (
+            SELECT word, word AS root FROM formed
+            UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.root = f.word
+            WHERE f.form IS NOT NULL),
+        roots AS (
+            SELECT c.word, c.root FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NULL)
+        SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN roots r ON f.word = r.word""",
 }
