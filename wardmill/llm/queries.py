@@ -17,6 +17,7 @@ from wardmill.llm import (
     spelling,
     substring_dedup,
     url_filter,
+    whitening,
 )
 
 RULES = (
@@ -104,6 +105,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector in the first four whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word with its usual form and the root its forms lead to."""
     return spelling.group(table(spark, sf_dir, "documents"))
@@ -120,6 +126,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_whitening": op12_whitening,
     "op13_spelling": op13_spelling,
 }
 
