@@ -14,6 +14,7 @@ from wardmill.llm import (
     near_dedup,
     pii,
     quality,
+    ratio_rules,
     spelling,
     substring_dedup,
     url_filter,
@@ -105,6 +106,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain counts of every document, and whether it reads more like trusted ones than not."""
+    judged = ratio_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.drop("digest", "n_grams", "score")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector in the first four whitened components."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -126,6 +133,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_quality_rules": op11_quality_rules,
     "op12_whitening": op12_whitening,
     "op13_spelling": op13_spelling,
 }
@@ -271,6 +279,65 @@ ORACLE = {
         SELECT l.doc_id, len(l.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
             sha256(coalesce(k.text, '')) AS kept_sha256
         FROM lists l LEFT JOIN kept k ON l.doc_id = k.doc_id""",
+    "op11_quality_rules": rf"""
+        WITH lists AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+                coalesce(regexp_extract_all(text, {_WORD}), []) AS w FROM documents),
+        trusted AS (
+            SELECT doc_id FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL
+            GROUP BY doc_id HAVING min(quality) = 1
+            ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 20000),
+        words AS (
+            SELECT r, doc_id, unnest(generate_series(1, len(w))) AS pos, unnest(w) AS word FROM lists),
+        ids AS (
+            SELECT word, CAST('0x' || left(md5(word), 8) AS BIGINT) AS id
+            FROM (SELECT DISTINCT word FROM words)),
+        numbered AS (
+            SELECT r, doc_id, id, lag(id) OVER (PARTITION BY r ORDER BY pos) AS before
+            FROM words JOIN ids USING (word)),
+        grams AS (
+            SELECT r, doc_id, id % 65521 AS bucket FROM numbered
+            UNION ALL SELECT r, doc_id, (before * 1000003 + id) % 65521 FROM numbered
+            WHERE before IS NOT NULL),
+        counted AS (
+            SELECT b AS bucket, count(g.bucket) + 1 AS n,
+                count(g.bucket) FILTER (g.doc_id IN (SELECT doc_id FROM trusted)) + 1 AS good
+            FROM generate_series(0, 65520) AS s(b) LEFT JOIN grams g ON g.bucket = b GROUP BY b),
+        weights AS (
+            SELECT bucket, CASE WHEN sum(good) OVER () = 65521 THEN 0 ELSE CAST(floor(65536 * ln(
+                (good / sum(good) OVER ()) / (n / sum(n) OVER ())) + 0.5) AS BIGINT) END AS weight
+            FROM counted),
+        scores AS (
+            SELECT r, count(*) AS n_grams, sum(weight) AS weight
+            FROM grams JOIN weights USING (bucket) GROUP BY r),
+        windows AS (
+            SELECT r, pos, count(*) OVER (PARTITION BY r, hash) AS times FROM (
+                SELECT r, unnest(generate_series(1, len(w) - 7)) AS pos, unnest(list_transform(
+                    generate_series(1, len(w) - 7),
+                    lambda i: md5(array_to_string(w[i:i + 7], ' ')))) AS hash
+                FROM lists WHERE len(w) >= 8)),
+        covered AS (
+            SELECT words.r, words.pos, max(CASE WHEN times > 1 THEN windows.pos END) OVER (
+                PARTITION BY words.r ORDER BY words.pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)
+                IS NOT NULL AS yes
+            FROM words LEFT JOIN windows ON words.r = windows.r AND words.pos = windows.pos),
+        repeated AS (SELECT r, count(*) FILTER (yes) AS n FROM covered GROUP BY r),
+        lines AS (
+            SELECT r, count(*) - count(DISTINCT line) AS n
+            FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM lists)
+            WHERE regexp_matches(line, {_WORD}) GROUP BY r),
+        judged AS (
+            SELECT l.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+                s.weight >= -16384 * s.n_grams AS fits
+            FROM lists l LEFT JOIN scores s USING (r) LEFT JOIN repeated USING (r)
+                LEFT JOIN lines USING (r)),
+        base AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM judged)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND coalesce(fits, true) AS kept FROM base""",
     "op13_spelling": rf"""
         WITH RECURSIVE crc AS (
             SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1
