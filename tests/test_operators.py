@@ -315,7 +315,9 @@ def test_numbers_as_text_by_type(spark):
     got = [r.a for r in as_text(df, ["a"]).collect()]
     assert got == ["4323100000001", "3", "0.0005", "-2.5", "10000000", "12345678.25", None, None, "0"]
     other = spark.sql("SELECT CAST(12.50 AS DECIMAL(9,2)) AS d, CAST(7 AS TINYINT) AS t, CAST(0.1 AS FLOAT) AS f")
-    assert as_text(other, ["d", "t", "f"]).first() == ("12.5", "7", "0.1")
+    assert as_text(other, ["d", "t", "f"]).first() == ("12.50", "7", "0.1")
+    exact = spark.sql("SELECT CAST(774 AS DECIMAL(18,2)) AS a, CAST(-71.1 AS DECIMAL(18,2)) AS b")
+    assert as_text(exact, ["a", "b"]).first() == ("774.00", "-71.10")
 
 
 def test_diff_casts_to_the_left_type_and_writes_keys_once(spark):

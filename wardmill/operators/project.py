@@ -26,11 +26,12 @@ def ensure_columns(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
 def text_of(c: Column, held: T.DataType) -> Column:
     """A raw value as text, by its type.
 
-    Numbers with a fraction part are written out plainly: whole ones without a point, so that an
-    integer column that a writer stored as double keeps its values, and small ones without an
-    exponent. What is no number (NaN, infinity) is null.
+    Floats and doubles are written out plainly, to 12 decimals: whole ones without a point, so that
+    an integer column that a writer stored as double keeps its values, and small ones without an
+    exponent. What is no number (NaN, infinity) or has over 38 digits is null. Decimals are exact
+    and print plainly as they are.
     """
-    if not isinstance(held, (T.FractionalType,)):
+    if not isinstance(held, (T.FloatType, T.DoubleType)):
         return c.cast("string")
     text = c.cast("string")
     plain = text.try_cast("decimal(38,12)").cast("string")
