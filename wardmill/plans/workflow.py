@@ -17,9 +17,10 @@ from wardmill.plans.model import TABLES, load_order
 from wardmill.plans.records import COLUMNS, contract_records, treat, unidentified
 from wardmill.plans.star import star_tables
 from wardmill.session import drop_staged
+from wardmill.sinks.snapshot import Store
 from wardmill.sinks.writers import (
     load_all,
-    parquet_writer,
+    load_snapshot,
     read_version,
     write_csv,
     write_parquet,
@@ -109,11 +110,14 @@ def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def load_stage(spark: SparkSession, at: Layout, write=None) -> dict[str, int]:
-    return load_all(read_tables(spark, at.processed), write or parquet_writer(at.loaded))
+    """Load all tables as one snapshot, or one after the other by ``write``."""
+    tables = read_tables(spark, at.processed)
+    return load_all(tables, write) if write else load_snapshot(tables, Store(spark, at.loaded))
 
 
 def audit_stage(spark: SparkSession, at: Layout) -> DataFrame:
-    tables = read_tables(spark, at.loaded)
+    """Checks on the tables of the latest snapshot."""
+    tables = Store(spark, at.loaded).tables()
     return audit(tables, declared_checks() + written_checks() + key_checks())
 
 
@@ -128,6 +132,3 @@ def run_all(spark: SparkSession, at: Layout) -> Mapping[str, object]:
     drop_staged(spark)  # what was staged has been loaded
     out["audit"] = audit_stage(spark, at)
     return out
-
-
-

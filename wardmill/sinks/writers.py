@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wardmill.operators.keys import number_rows
 from wardmill.operators.project import conform
 from wardmill.plans.model import CASE, TABLES, load_order, relational_columns
+from wardmill.sinks.snapshot import Store
 
 COMPRESSION = "snappy"
 POINTER = "_versions"
@@ -91,6 +92,25 @@ def parquet_writer(root: str):
     return lambda name, df: write_parquet(df, f"{root}/{name}")
 
 
+def load_snapshot(tables: Mapping[str, DataFrame], store: Store) -> dict[str, int]:
+    """Full refresh of all tables at once: readers of ``store`` see all old ones or all new ones.
+
+    Every table is written beside the old one; the last step makes a version that names them.
+    Tables that ``load_all`` leaves alone keep their folder.
+    """
+    before = store.read()
+    parts: dict[str, str] = {}
+
+    def write(name: str, df: DataFrame) -> int:
+        parts[name] = store.new_folder(name)
+        return write_parquet(df, f"{store.root}/{parts[name]}", mode="errorifexists")
+
+    loaded = load_all(tables, write)
+    if parts:
+        store.commit(before, parts)
+    return loaded
+
+
 def catalog_writer(database: str, buckets: int | None = None):
     """Managed tables of a catalog database.
 
