@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from wardmill.functions import (
 )
 from wardmill.operators.contract import contract
 from wardmill.operators.project import apply_rules, ensure_columns
+from wardmill.operators.standing import Contraction
 
 # The 46 columns of a record, in order.
 COLUMNS = (
@@ -123,20 +124,34 @@ def unidentified(raw: DataFrame) -> DataFrame:
     return raw.where(to_int(F.col("N_AIH"), "bigint").isNull())
 
 
+def first_by() -> list[str | Column]:
+    """Known admission date first, then known discharge, then procedure; other columns follow."""
+    unknown = [F.col(c).isNull() for c in ("DT_INTER", "DT_SAIDA")]
+    return [unknown[0], "DT_INTER", unknown[1], "DT_SAIDA", "PROC_REA"]
+
+
 def contract_records(treated: DataFrame) -> DataFrame:
     """One row per case id.
 
-    Money is summed, bed days are averaged, everything else comes from the earliest row: known
-    admission date first, then known discharge, then procedure and the remaining columns.
+    Money is summed, bed days are averaged, everything else comes from the earliest row.
     """
-    order = [
-        F.col("DT_INTER").isNull(), "DT_INTER", F.col("DT_SAIDA").isNull(), "DT_SAIDA", "PROC_REA",
-    ]
     return contract(
         treated,
         key=("N_AIH",),
         sums=[c for c in COMPONENTS if c in treated.columns],
         means=[c for c in MEANS if c in treated.columns],
-        order=order,
+        order=first_by(),
         recomputed=derived(treated.columns),
     )
+
+
+def record_contraction(columns: Sequence[str] = COLUMNS) -> Contraction:
+    """The same contraction, for states that are kept between loads."""
+    return Contraction(
+        columns=tuple(columns),
+        key=("N_AIH",),
+        sums=[c for c in COMPONENTS if c in columns],
+        means=[c for c in MEANS if c in columns],
+        order=first_by(),
+        recomputed=derived,
+    )
