@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each beside the SQL it must agree with."""
 
-from wardmill.catalog import checks, cleaning, keyed, records, reports, shaping
+from wardmill.catalog import checks, cleaning, keyed, loads, records, reports, shaping
 
-MODULES = (cleaning, shaping, keyed, checks, reports, records)
+MODULES = (cleaning, shaping, keyed, checks, reports, records, loads)
 
 
 def all_queries() -> dict:

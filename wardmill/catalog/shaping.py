@@ -66,10 +66,10 @@ JOIN (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_RANK_ORDER
   ON t.l_orderkey = f.l_orderkey AND f.rn = 1"""
 
 
-def contract_query(spark, sf_dir):
+def contracted_row(contracted):
     rounded = [F.round(c, 4).alias(c) for c in SUMS]
     total = F.round(sum([F.col(c) for c in SUMS[1:]], F.col(SUMS[0])), 4)
-    return contracted_lines(spark, sf_dir).select(
+    return contracted.select(
         "l_orderkey",
         *_CARRIED,
         *rounded,
@@ -78,6 +78,10 @@ def contract_query(spark, sf_dir):
     )
 
 
+def contract_query(spark, sf_dir):
+    return contracted_row(contracted_lines(spark, sf_dir))
+
+
 QUERIES["contract"] = contract_query
 ORACLE["contract"] = f"""
 SELECT l_orderkey, {", ".join(_CARRIED)}, {", ".join(f"round({c}, 4) AS {c}" for c in SUMS)},
@@ -175,7 +179,7 @@ NUMBERED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedp
 
 def surrogate_key(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(*NUMBERED)
-    return number_rows(lines, "row_id", order=NUMBERED)
+    return number_rows(lines, "row_id", order=NUMBERED, total=True)  # rows are whole
 
 
 QUERIES["surrogate_key"] = surrogate_key

@@ -51,6 +51,11 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/wardmill-{spark.sparkContext.applicationId}"
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path under the shared folder; ``drop_staged`` removes what is written there."""
+    return f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back, which cuts the lineage.
 
@@ -59,7 +64,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     them has been written.
     """
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
