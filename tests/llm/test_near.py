@@ -1,9 +1,9 @@
 from __future__ import annotations
 
 import random
-from math import comb
 
 import numpy as np
+import pyarrow as pa
 from odd import ODD
 
 from wardmill.llm import near_dedup
@@ -138,17 +138,60 @@ def test_components_of_chains_and_stars(spark):
     assert got == {x: root(x) for x in label if root(x) != x}
 
 
-def test_bits_lose_fewer_pairs_than_bands(spark):
-    """Of pairs just at the similarity, by the binomial tail beyond the most bits let through."""
-    longs, bits = near_dedup.BITS // 64, near_dedup.BITS
-    rows = []
-    for differing in range(80, 400):
-        flags = np.zeros(bits, np.uint8)
-        flags[:differing] = 1
-        rows.append((differing, *np.packbits(flags).view(np.int64).tolist()))
-    pairs = spark.createDataFrame(rows, ["differing", *[f"p{i}" for i in range(longs)]])
-    pairs = pairs.selectExpr("*", *[f"0L AS q{i}" for i in range(longs)])
-    most = max(r.differing for r in pairs.where(near_dedup._bits_alike(80)).collect())
-    lost = sum(comb(bits, k) * 0.1**k * 0.9 ** (bits - k) for k in range(most + 1, bits + 1))
-    bands = (1 - 0.8 ** (near_dedup.SLOTS // near_dedup.BANDS)) ** near_dedup.BANDS
-    assert lost < bands
+def test_two_texts_under_one_id_in_any_order(documents):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    x, y = (" ".join(rng.choice(words) for _ in range(80)) for _ in "xy")
+    near_x = x.rsplit(" ", 1)[0] + " other"
+    for rows in ([(5, x), (5, y), (6, near_x)], [(5, y), (5, x), (6, near_x)]):
+        got = {(r.doc_id, r.component_id) for r in near_dedup.group(documents(rows)).collect()}
+        assert got == {(5, 5), (6, 5)}
+    rows = [(3, x), (5, x), (5, y), (7, y), (9, "a b c d e f g")]
+    for _ in range(2):
+        got = {(r.doc_id, r.component_id) for r in near_dedup.group(documents(rows)).collect()}
+        assert got == {(3, 3), (5, 3), (7, 3), (9, 9)}
+        rows.reverse()
+
+
+def test_a_large_half_alike_template(documents, monkeypatch):
+    """Members share a template of half their shingles; few are linked, none of them is lost."""
+    rng = random.Random(6)
+    template = [f"t{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        own = [f"o{i}_{k}" for k in range(rng.choice((30, 45)))]
+        texts.append(" ".join(template + own))
+        if i % 10 == 0:
+            own[-3:] = ["x", "y", "z"]
+            texts.append(" ".join(template + own))
+    rng.shuffle(texts)
+    compared = []
+    plain = near_dedup._verified
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    got = {r.doc_id: r.component_id for r in near_dedup.group(documents(texts), shingle=4).collect()}
+    assert got == {i: c for i, (_, c) in enumerate(brute(texts))}
+    # the pairs after the first ones follow the links, not the square of the group
+    assert sum(compared[1:]) <= 2 * len(texts)
+
+
+def test_filed_sets_share_a_key(spark):
+    """Sets just at the similarity have one of the shingles they are filed under in common."""
+    rng = np.random.default_rng(2)
+
+    class Value:
+        value = rng.integers(0, 50, near_dedup.CELLS)
+
+    for n in (1, 2, 5, 9, 40, 333):
+        for m in range(-(-80 * n // 100), n + 1):
+            common = rng.choice(2**60, m, replace=False)
+            a = np.unique(np.concatenate([common, rng.choice(2**60, n - m)]))
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array([1, 2]), pa.array([a.tolist(), np.unique(common).tolist()])], ["rep", "grams"]
+            )
+            one, two = near_dedup._filed(Value, 80)(iter([batch]))
+            assert set(one.column("key").to_pylist()) & set(two.column("key").to_pylist())

@@ -8,15 +8,18 @@ permutation of its own, and the rounds stop early once all slots are filled, bec
 are larger. ``BANDS`` bands of slots are the keys under which candidates meet.
 
 Groups of candidates are not expanded into pairs. First every member is compared with the
-smallest of its group, on full sets, and the links found are grouped into components. Then only
-members of one group that are still in different components are compared, if 1024 bits of their
-signatures are as alike as the similarity asks, so groups of half-alike documents make few pairs.
-What remains unseen is what signatures miss: of pairs just at similarity 0.8, one in 20 million
-shares no band, and one in 120 million differs in too many bits.
+smallest of its group, on full sets, and the links found are grouped into components. What is left
+are groups whose members lie in several components. Their sets are put in one order, rare shingles
+first, and each is filed under its first ones: two sets as alike as asked must share one of the first
+``n - ceil(0.8 n) + 1``, and what a whole group has in common comes last and files nobody. Again
+every member is first compared with the smallest under each shingle, round after round while that
+finds links, and at last all that still share a shingle across components. This loses no link; what
+remains unseen is what bands miss: of pairs just at similarity 0.8, one in 20 million shares none.
 
 Defined results: texts without words have an empty set and no link; a row without doc_id has no
 link and stands for itself; a doc_id names one document, so repeated rows are that document and
-different texts under one doc_id are linked by it; extra columns are ignored.
+different texts under one doc_id are linked by it, in whatever order the rows come; texts of any
+length are taken whole, by one task; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +36,7 @@ from wardmill.llm.components import components
 from wardmill.session import stage
 
 SLOTS, BANDS = 128, 32
-BITS = 1024  # of the packed signatures that candidates of open groups are compared by
-DEVIATIONS = 6  # by which these may differ more than expected of a pair just at the similarity
+CELLS, SHARD = 1 << 20, 1 << 14  # counts of shingles that put them in order, and those of one row
 EMPTY = np.int64(2**62)
 
 
@@ -157,34 +159,66 @@ def _set_of(size: int):
     return run
 
 
-def _bits_of(slots: int):
-    """One bit of every minimum, packed into longs."""
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes + np.uint64(3)) & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        flat = np.asarray(batch.column("grams").flatten()).view(np.uint64)
+        counts += np.bincount(_cells(flat), minlength=CELLS)
+    yield from _sharded(enumerate(counts.reshape(-1, SHARD)))
+
+
+def _sharded(shards) -> Iterator[pa.RecordBatch]:
+    for i, counts in shards:
+        if counts.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.array([counts.tobytes()], pa.binary())], ["shard", "counts"]
+            )
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, data in zip(batch.column("shard").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            total[i] = total.get(i, 0) + np.frombuffer(data, np.int64)
+    yield from _sharded(total.items())
+
+
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each cell occur in all sets; a table of fixed size."""
+    shape = "shard int, counts binary"
+    parts = sets.select("grams").mapInArrow(_cell_counts, shape).repartition("shard").mapInArrow(_added, shape)
+    counts = np.zeros((CELLS // SHARD, SHARD), np.int64)
+    for shard, data in parts.collect():
+        counts[shard] = np.frombuffer(data, np.int64)
+    return counts.ravel()
+
+
+def _filed(rarity, percent: int):
+    """The shingles that each set is filed under, with their places in the common order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 hashes = np.asarray(batch.column("grams")[i].values).view(np.uint64)
-                signature = super_minhash(np.zeros(len(hashes), np.int64), hashes, 1, slots)
-                bits = np.packbits((mixed(signature[0].astype(np.uint64)) & np.uint64(1)).astype(np.uint8))
+                order = np.lexsort((hashes, rarity.value[_cells(hashes)]))
+                keys = len(hashes) - -(-percent * len(hashes) // 100) + 1
+                kept = hashes[order[:keys]].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep").slice(i, 1), pa.array([bits.view(np.int64)])],
-                    ["rep", "bits"],
-                )
+                    [
+                        pa.array(kept), pa.repeat(batch.column("rep")[i], len(kept)),
+                        pa.repeat(pa.scalar(len(hashes), pa.int64()), len(kept)),
+                        pa.array(np.arange(len(kept), dtype=np.int32)),
+                    ],
+                    ["key", "rep", "n", "pos"],
+                )
 
     return run
 
 
-def _bits_alike(percent: int) -> Column:
-    """Whether packed bits ``p`` and ``q`` differ no more than those of sets as alike as asked.
-
-    Minima differ in a share of 1 - similarity, and half of those in their bit. The limit is six
-    standard deviations above that, which one in 120 million pairs just at 0.8 exceeds (binomial).
-    """
-    differ = sum(F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(BITS // 64))
-    share = (1 - percent / 100) / 2
-    return differ <= BITS * share + DEVIATIONS * (BITS * share * (1 - share)) ** 0.5
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
     common = F.size(F.array_intersect("x", "y"))
@@ -202,6 +236,62 @@ def _alike_in_size(percent: int, n: Column, m: Column) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _can_be_alike(percent: int, p: str, q: str) -> Column:
+    """Whether sets filed under one shingle at these places can have enough in common.
+
+    At the first shingle they share, what they can share yet is what follows it in both.
+    """
+    n, m = F.col(f"{p}.n"), F.col(f"{q}.n")
+    common = F.least(n - F.col(f"{p}.pos"), m - F.col(f"{q}.pos"))
+    return _alike_in_size(percent, n, m) & ((100 + percent) * common >= percent * (n + m))
+
+
+def _one_by_one(filed: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components, for sets that are ``filed``; returns all links."""
+    tried = None
+    while True:
+        found = components(links)
+        placed = filed.join(found, filed["rep"] == found["node"], "left").select(
+            "key", "rep", "n", "pos", F.coalesce("component", "rep").alias("component")
+        )
+        keys = placed.groupBy("key").agg(
+            F.min(F.struct("rep", "n", "pos", "component")).alias("q"),
+            F.min("component").alias("lo"), F.max("component").alias("hi"),
+        )
+        keys = stage(keys.where("lo < hi").select("key", "q"), "near-keys")
+        placed = stage(placed.join(keys.select("key"), "key"), "near-placed")
+        pairs = (
+            placed.alias("p")
+            .join(keys, "key")
+            .where(F.col("p.component") != F.col("q.component"))
+            .where(_can_be_alike(percent, "p", "q"))
+            .select(F.col("q.rep").alias("a"), F.col("p.rep").alias("b"))
+            .distinct()
+        )
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "near-pairs")
+        more = stage(_verified(pairs, sets, percent), "near-links")
+        tried = pairs if tried is None else tried.union(pairs)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+    rest = (
+        placed.alias("p")
+        .join(
+            placed.alias("q"),
+            (F.col("p.key") == F.col("q.key"))
+            & (F.col("p.rep") < F.col("q.rep"))
+            & (F.col("p.component") != F.col("q.component"))
+            & _can_be_alike(percent, "p", "q"),
+        )
+        .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
+        .distinct()
+        .join(tried, ["a", "b"], "left_anti")
+    )
+    return links.union(stage(_verified(rest, sets, percent), "near-links"))
+
+
 def group(docs: DataFrame, shingle: int = 5, percent: int = 80, slots: int = SLOTS, bands: int = BANDS) -> DataFrame:
     """``doc_id``, ``digest``, ``n_shingles``, ``component_id``, ``kept`` of each row of ``docs``.
 
@@ -215,93 +305,73 @@ def group(docs: DataFrame, shingle: int = 5, percent: int = 80, slots: int = SLO
         ),
         "near-signatures",
     )
+    # Classes are numbered where they are written, so two texts under one doc_id stay apart.
     classes = stage(
         signed.where("n > 0 AND id IS NOT NULL")
         .groupBy("n", "k1", "k2")
         .agg(F.min(F.struct("id", "digest", "bands")).alias("one"))
-        .select("n", "k1", "k2", F.col("one.id").alias("rep"), "one.digest", "one.bands"),
+        .select(
+            F.monotonically_increasing_id().alias("rep"), "n", "k1", "k2", "one.id", "one.digest", "one.bands"
+        ),
         "near-classes",
     )
-    banded = stage(
-        classes.select("rep", "digest", "n", F.explode("bands").alias("key")), "near-bands"
+    named = classes.select("n", "k1", "k2", "rep")
+    rows = stage(
+        signed.select("id", "digest", "n", "k1", "k2")
+        .join(named, ["n", "k1", "k2"], "left")
+        .select("id", "digest", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")),
+        "near-rows",
     )
+    several = rows.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
+    same_id = rows.join(stage(several, "near-ids"), "id").where("rep > a").select("a", F.col("rep").alias("b"))
+    banded = stage(classes.select("rep", "n", F.explode("bands").alias("key")), "near-bands")
     shared = banded.groupBy("key").agg(
         F.min(F.struct("rep", "n")).alias("least"), F.count("*").alias("members")
     )
+    shared = stage(shared.where("members > 1"), "near-shared")
+    met = banded.join(shared, "key")
     led = (
-        banded.join(shared.where("members > 1"), "key")
-        .where("rep > least.rep")
+        met.where("rep > least.rep")
         .where(_alike_in_size(percent, F.col("n"), F.col("least.n")))
         .select(F.col("least.rep").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
     led = stage(led, "near-led")
-    members = banded.join(shared.where("members > 1").select("key"), "key").select("rep").distinct()
+    members = met.select("rep").distinct()
+    reps = classes.join(members, "rep").select("rep", "id", "digest")
     texts = whole.select("id", "digest", "body")
-    reps = classes.join(members, "rep").select("rep", "digest")
     sets = stage(
-        texts.join(reps, (texts["id"] == reps["rep"]) & (texts["digest"] == reps["digest"]))
+        texts.join(reps, ["id", "digest"])
         .select("rep", "body")
         .mapInArrow(_set_of(shingle), "rep long, grams array<long>")
         .groupBy("rep")
         .agg(F.first("grams").alias("grams")),
         "near-sets",
     )
-    links = stage(_verified(led, sets, percent), "near-links")
+    links = stage(_verified(led, sets, percent).union(same_id.distinct()), "near-links")
     found = components(links)
     # What is left: members of one group that the first links have not joined.
-    placed = (
-        banded.join(found, banded["rep"] == found["node"], "left")
-        .select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    )
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = stage(
-        placed.join(split.where("lo < hi").select("key"), "key").select("key", "rep", "n", "component"),
-        "near-open",
-    )
-    packed = stage(
-        sets.join(open_.select("rep").distinct(), "rep").mapInArrow(
-            _bits_of(BITS), "rep long, bits array<long>"
-        ),
-        "near-bits",
+    placed = banded.join(found, banded["rep"] == found["node"], "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component")
     )
-
-    # With all its bands beside it, a pair can tell the first one it shares, and is made there only.
-    described = packed.join(classes.select("rep", "bands"), "rep")
-
-    def side(name: str) -> DataFrame:
-        bits = [F.get("bits", i).alias(f"{name}{i}") for i in range(BITS // 64)]
-        return (
-            open_.join(described, "rep")
-            .select("key", "rep", "n", "component", "bands", *bits)
-            .alias(name)
-        )
-
-    shared_bands = F.array_intersect(F.col("p.bands"), F.col("q.bands"))
-    rest = (
-        side("p")
-        .join(
-            side("q"),
-            (F.col("p.key") == F.col("q.key"))
-            & (F.col("p.rep") < F.col("q.rep"))
-            & (F.col("p.component") != F.col("q.component"))
-            & _alike_in_size(percent, F.col("p.n"), F.col("q.n"))
-            & _bits_alike(percent)
-            & (F.array_min(shared_bands) == F.col("p.key")),
-        )
-        .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
-        .join(led, ["a", "b"], "left_anti")
+    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    split = stage(split.where("lo < hi").select("key"), "near-split")
+    open_ = stage(sets.join(placed.join(split, "key").select("rep").distinct(), "rep"), "near-open")
+    rarity = docs.sparkSession.sparkContext.broadcast(_rarity(open_))
+    filed = stage(
+        open_.mapInArrow(_filed(rarity, percent), "key long, rep long, n long, pos int"), "near-filed"
     )
-    more = stage(_verified(rest, sets, percent), "near-links")
-    final = components(links.union(more))
+    final = components(_one_by_one(filed, links, sets, percent))
     grouped = classes.join(final, classes["rep"] == final["node"], "left").select(
-        "n", "k1", "k2", F.coalesce("component", "rep").alias("component")
+        classes["rep"], "id", F.coalesce("component", "rep").alias("component")
     )
+    least = grouped.groupBy("component").agg(F.min("id").alias("least"))
+    named = stage(grouped.join(stage(least, "near-least"), "component").select("rep", "least"), "near-named")
     return (
-        signed.join(grouped, ["n", "k1", "k2"], "left")
+        rows.join(named, "rep", "left")
         .select(
             F.col("id").alias("doc_id"), "digest", F.col("n").alias("n_shingles"),
-            F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+            F.coalesce("least", "id").alias("component_id"),
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
