@@ -195,3 +195,21 @@ def test_filed_sets_share_a_key(spark):
             )
             one, two = near_dedup._filed(Value, 80)(iter([batch]))
             assert set(one.column("key").to_pylist()) & set(two.column("key").to_pylist())
+
+
+def test_many_members_around_the_similarity(documents, monkeypatch):
+    """Versions of one text that are linked to few of the others, whatever keys they carry along."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(70)]
+    texts = []
+    for i in range(90):
+        words = list(base)
+        for at in rng.sample(range(70), rng.choice((2, 3, 3, 4))):
+            words[at] = f"n{i}_{at}" if rng.random() < 0.7 else f"n{at}"
+        texts.append(" ".join(words))
+    expected = {i: c for i, (_, c) in enumerate(brute(texts))}
+    assert len(set(expected.values())) > 10
+    for head in (32, 1):
+        monkeypatch.setattr(near_dedup, "HEAD", head)
+        got = near_dedup.group(documents(texts), shingle=4).collect()
+        assert {r.doc_id: r.component_id for r in got} == expected

@@ -12,8 +12,8 @@ smallest of its group, on full sets, and the links found are grouped into compon
 are groups whose members lie in several components. Their sets are put in one order, rare shingles
 first, and each is filed under its first ones: two sets as alike as asked must share one of the first
 ``n - ceil(0.8 n) + 1``, and what a whole group has in common comes last and files nobody. Again
-every member is first compared with the smallest under each shingle, round after round while that
-finds links, and at last all that still share a shingle across components. This loses no link; what
+every member is first compared with a few leaders under each shingle, again while that finds
+links, and at last all that still share a shingle across components. This loses no link; what
 remains unseen is what bands miss: of pairs just at similarity 0.8, one in 20 million shares none.
 
 Defined results: texts without words have an empty set and no link; a row without doc_id has no
@@ -36,6 +36,8 @@ from wardmill.llm.components import components
 from wardmill.session import stage
 
 SLOTS, BANDS = 128, 32
+HEAD = 32  # keys that a set carries along, to know the first one it shares
+LEADERS = 4  # under each shingle
 CELLS, SHARD = 1 << 20, 1 << 14  # counts of shingles that put them in order, and those of one row
 EMPTY = np.int64(2**62)
 
@@ -207,13 +209,14 @@ def _filed(rarity, percent: int):
                 order = np.lexsort((hashes, rarity.value[_cells(hashes)]))
                 keys = len(hashes) - -(-percent * len(hashes) // 100) + 1
                 kept = hashes[order[:keys]].view(np.int64)
+                head = pa.scalar(kept[:HEAD].tolist(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(kept), pa.repeat(batch.column("rep")[i], len(kept)),
                         pa.repeat(pa.scalar(len(hashes), pa.int64()), len(kept)),
-                        pa.array(np.arange(len(kept), dtype=np.int32)),
+                        pa.array(np.arange(len(kept), dtype=np.int32)), pa.repeat(head, len(kept)),
                     ],
-                    ["key", "rep", "n", "pos"],
+                    ["key", "rep", "n", "pos", "head"],
                 )
 
     return run
@@ -247,25 +250,30 @@ def _can_be_alike(percent: int, p: str, q: str) -> Column:
 
 
 def _one_by_one(filed: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components, for sets that are ``filed``; returns all links."""
+    """Links between components, for sets that are ``filed``; returns all links.
+
+    A pair is made at the first key that both share; this is known if both carry it along among
+    their first ones, else the pair is made at each shared key.
+    """
     tried = None
     while True:
         found = components(links)
         placed = filed.join(found, filed["rep"] == found["node"], "left").select(
-            "key", "rep", "n", "pos", F.coalesce("component", "rep").alias("component")
+            "key", "rep", "n", "pos", "head", F.coalesce("component", "rep").alias("component")
         )
+        one = F.struct("rep", "n", "pos", "component")
         keys = placed.groupBy("key").agg(
-            F.min(F.struct("rep", "n", "pos", "component")).alias("q"),
+            F.array(*[F.min_by(one, F.xxhash64("rep", F.lit(i))) for i in range(LEADERS)]).alias("leaders"),
             F.min("component").alias("lo"), F.max("component").alias("hi"),
         )
-        keys = stage(keys.where("lo < hi").select("key", "q"), "near-keys")
+        keys = stage(keys.where("lo < hi").select("key", F.array_distinct("leaders").alias("leaders")), "near-keys")
         placed = stage(placed.join(keys.select("key"), "key"), "near-placed")
         pairs = (
-            placed.alias("p")
-            .join(keys, "key")
+            placed.drop("head").alias("p")
+            .join(keys.select("key", F.explode("leaders").alias("q")), "key")
             .where(F.col("p.component") != F.col("q.component"))
             .where(_can_be_alike(percent, "p", "q"))
-            .select(F.col("q.rep").alias("a"), F.col("p.rep").alias("b"))
+            .select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b"))
             .distinct()
         )
         if tried is not None:
@@ -283,7 +291,8 @@ def _one_by_one(filed: DataFrame, links: DataFrame, sets: DataFrame, percent: in
             (F.col("p.key") == F.col("q.key"))
             & (F.col("p.rep") < F.col("q.rep"))
             & (F.col("p.component") != F.col("q.component"))
-            & _can_be_alike(percent, "p", "q"),
+            & _can_be_alike(percent, "p", "q")
+            & F.coalesce(F.get(F.array_intersect("p.head", "q.head"), 0) == F.col("p.key"), F.lit(True)),
         )
         .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
         .distinct()
@@ -359,7 +368,7 @@ def group(docs: DataFrame, shingle: int = 5, percent: int = 80, slots: int = SLO
     open_ = stage(sets.join(placed.join(split, "key").select("rep").distinct(), "rep"), "near-open")
     rarity = docs.sparkSession.sparkContext.broadcast(_rarity(open_))
     filed = stage(
-        open_.mapInArrow(_filed(rarity, percent), "key long, rep long, n long, pos int"), "near-filed"
+        open_.mapInArrow(_filed(rarity, percent), "key long, rep long, n long, pos int, head array<long>"), "near-filed"
     )
     final = components(_one_by_one(filed, links, sets, percent))
     grouped = classes.join(final, classes["rep"] == final["node"], "left").select(
