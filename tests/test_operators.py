@@ -350,3 +350,59 @@ def test_a_total_order_is_numbered_with_one_write(spark):
     df = spark.createDataFrame([(i * 7 % 50,) for i in range(50)], "a int").repartition(4)
     rows = number_rows(df, "n", order=("a",), partitions=3, total=True).collect()
     assert sorted(map(tuple, rows)) == [(i + 1, i) for i in range(50)]
+
+
+def test_key_checks_of_whole_numbers_against_brute_force(spark):
+    """Dense and scattered, negative, repeated and missing keys; a whole word without parents."""
+    rng = random.Random(5)
+    pool = [*range(-70, 200), *(rng.randrange(-(2**63), 2**63) for _ in range(40)), 2**63 - 1, -(2**63), None]
+    child = [rng.choice(pool) for _ in range(400)] + [7] * 50 + [10_000 + i for i in range(70)]
+    parent = list({k for k in pool if k is not None and rng.random() < 0.7}) + [None]
+    once = list(range(-64, 64)) + [None, None]
+    tables = {
+        "c": spark.createDataFrame([(k,) for k in child], "k long"),
+        "p": spark.createDataFrame([(k,) for k in parent], "k long"),
+        "o": spark.createDataFrame([(k,) for k in once], "k short"),
+    }
+    checks = [
+        Q.UniqueCheck("c", ("k",)), Q.UniqueCheck("p", ("k",)), Q.UniqueCheck("o", ("k",)),
+        Q.RelationshipCheck("c", ("k",), "p", ("k",)), Q.RelationshipCheck("p", ("k",), "c", ("k",)),
+        Q.RelationshipCheck("o", ("k",), "c", ("k",)), Q.RelationshipCheck("o", ("k",), "o", ("k",)),
+    ]
+    values = {"c": child, "p": parent, "o": once}
+
+    def brute(check):
+        own = Counter(k for k in values[check.table] if k is not None)
+        if isinstance(check, Q.UniqueCheck):
+            return sum(n > 1 for n in own.values())
+        known = set(values[check.to_table])
+        return sum(n for k, n in own.items() if k not in known)
+
+    expected = Counter((c.name, c.table, brute(c)) for c in checks)
+    got = Counter((r.check_name, r.table_name, r.violations) for r in Q.scorecard(tables, checks).collect())
+    assert got == expected
+    assert expected["relationships", "o", 0] >= 1 and brute(checks[3]) > 70
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert {r.violations for r in Q.scorecard(empty, checks).collect()} == {0}
+
+
+@pytest.mark.parametrize("kind", ["decimal(10,2)", "double", "float", "int", "decimal(12,0)", "string", "short"])
+def test_keys_compare_in_their_common_type(spark, kind):
+    child = spark.createDataFrame([(i,) for i in (1, 2, 3, 3, 12)], "k long").selectExpr("k", "CAST(k AS int) AS j")
+    parent = spark.range(1, 10).selectExpr(f"CAST(id AS {kind}) AS pk", "CAST(id AS double) AS pj")
+    checks = [
+        Q.RelationshipCheck("c", ("k",), "p", ("pk",)), Q.RelationshipCheck("c", ("k", "j"), "p", ("pk", "pj")),
+        Q.RelationshipCheck("p", ("pk",), "c", ("k",)),
+    ]
+    got = [r.violations for r in Q.scorecard({"c": child, "p": parent}, checks).collect()]
+    assert sorted(got) == [1, 1, 6]
+
+
+def test_clean_whole_number_keys_are_exchanged_as_words(spark):
+    """What is exchanged for 64 neighbouring keys is one row, and clean keys leave no row behind."""
+    df = spark.range(0, 64_000, 1, 1).withColumnRenamed("id", "k")
+    words = [Q._number_use(("k",), [T.LongType()], 0, 1), Q._number_use(("k",), [T.LongType()], 1, 1),
+             Q._number_use(("k",), [T.LongType()], 1, 0)]
+    keys = df.select(F.inline(F.array(*words)))
+    assert keys.groupBy("g", "word").count().count() == 2 * 1000
+    assert all(part.count() == 0 for part in Q._count_numbers(keys, [1]))
