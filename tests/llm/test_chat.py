@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from oracle import DATA
+from pyspark.sql import functions as F
 
 from wardmill.llm import chat
 from wardmill.llm.quality import held_out
@@ -106,3 +107,16 @@ def test_nulls_repeated_rows_and_nothing(spark):
     assert chat.decode(empty, chat.train(empty)).count() == 0
     long = spark.createDataFrame([(1, 0, "user", "word " * 50_000 + "\n" * 5000)], given.schema)
     assert chat.decode(chat.raw_lines(long), chat.train(raw)).agg({"turn": "max"}).first()[0] is not None
+
+
+def test_a_turn_renders_in_one_way(spark):
+    """A break after a marker on its own line, and blanks around a text, are no part of it."""
+    texts = ["hi\n there", "\nhi\n there", " \n\thi\n there \r\n\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r[0] for r in df.select(chat.rendered(F.lit("user"), F.col("text"))).collect()}
+    assert got == {"<|user|>\nhi\n there\n<|end|>\n"}
+    lines = [(1, i, line) for i, line in enumerate(["### Instruction:", "sum this", "### Response:", "", "done", ""])]
+    raw = spark.createDataFrame(lines, "conv long, seq long, line string")
+    conversations = spark.read.parquet(str(DATA / "sf0.01" / "conversations.parquet"))
+    turns = chat.decode(raw, chat.train(chat.raw_lines(conversations)))
+    assert [r[0] for r in turns.orderBy("turn").select(chat.bare(F.col("text"))).collect()] == ["sum this", "done"]

@@ -184,8 +184,10 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
             F.array_sort(F.collect_list(F.struct("at", value))), lambda s: s[value]
         ).alias("values")
 
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     levels = []
     now = numbered.groupBy("conv", block).agg(gathered(numbered, "code"))
+    now = now.repartition(tasks, "conv", "block")
     now = stage(now.withColumn("m", reduced_codes("values")), "chat-blocks")
     levels.append(now)
     while (now.agg(F.max("block")).first()[0] or 0) > 0:
@@ -202,8 +204,10 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
         path = states_of_codes if depth == 0 else states_of_matrices
         level, e = levels[depth].alias("l"), ends.alias("e")
         same = F.col("l.conv").eqNullSafe(F.col("e.conv")) & (F.col("l.block") == F.col("e.block"))
-        found = level.join(e, same).select(
-            "l.conv", "l.block", "first", path("values", "first", "last").alias("path")
+        met = level.join(e, same).select("l.conv", "l.block", "first", "last", "values")
+        # by number: the cost is Python's, so partitions must not be merged by their bytes
+        found = met.repartition(tasks, "conv", "block").select(
+            "conv", "block", "first", path("values", "first", "last").alias("path")
         )
         # A child starts in the state that the one before it ends in.
         ends = found.select(
@@ -253,8 +257,13 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
 
 
 def rendered(role: Column, text: Column) -> Column:
-    """A turn in canonical form."""
-    return F.concat(F.lit("<|"), role, F.lit("|>\n"), F.trim(text), F.lit("\n<|end|>\n"))
+    """A turn in canonical form: no blank or line break begins or ends its text."""
+    return F.concat(F.lit("<|"), role, F.lit("|>\n"), bare(text), F.lit("\n<|end|>\n"))
+
+
+def bare(text: Column) -> Column:
+    """``text`` without white space around it, such as the break after a marker of its own line."""
+    return F.btrim(text, F.lit(" \t\n\r\f\x0b"))
 
 
 # Ways to write down the three roles; a transcript keeps to one of them.

@@ -79,7 +79,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = chat.train(raw.where(~quality.held_out(F.col("conv"))))
     turns = chat.decode(raw, model)
     return turns.select(
-        F.col("conv").alias("conv_id"), "turn", "role", F.length("text").cast("long").alias("n_chars"),
+        F.col("conv").alias("conv_id"), "turn", "role", F.length(chat.bare(F.col("text"))).cast("long").alias("n_chars"),
         F.sha2(chat.rendered(F.col("role"), F.col("text")), 256).alias("rendered_sha256"),
     )
 
