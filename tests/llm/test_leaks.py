@@ -12,7 +12,7 @@ from wardmill.llm import decontaminate as d
 
 
 def norm(text):
-    return [w.lower() for w in re.findall(r"[^\W_]+", text or "")]
+    return [w.lower() for w in re.findall(r"[\u4e00-\u9fff]|[^\W_\u4e00-\u9fff]+", text or "")]
 
 
 def brute(texts, items, window=20, share=0.8):
@@ -20,16 +20,17 @@ def brute(texts, items, window=20, share=0.8):
     found = set()
     for (i, t), (j, b) in itertools.product(enumerate(texts), enumerate(items)):
         a, b = norm(t), norm(b)
-        if len(b) < d.LEAST:
+        if not b:
             continue
         size = min(len(b), window)
+        needed = len(b) if len(b) < d.LEAST else math.ceil(round(size * share, 6))
         for start in range(-len(b) + 1, len(a)):
             lo, hi = max(0, -start), min(len(b), len(a) - start)
             if hi - lo < size:
                 continue
             equal = [a[start + k] == b[k] for k in range(lo, hi)]
             best = max(sum(equal[k : k + size]) for k in range(hi - lo - size + 1))
-            if best >= math.ceil(round(size * share, 6)):
+            if best >= needed:
                 found.add((i, j, start + lo, best))
     return found
 
@@ -88,6 +89,22 @@ def test_same_without_broadcast(documents, spark, monkeypatch):
     assert got(documents(texts), bench(spark, items)) == brute(texts, items)
 
 
+def test_short_items_and_scripts_without_blanks(documents, spark):
+    rng = random.Random(3)
+    han = [chr(0x4E00 + i) for i in range(40)]
+    items = ["a", "B c", "a b c d e f g", "中文", "".join(han[:9]), "".join(han[5:30]), "x" + han[3] + "y z", "_ ,"]
+    texts = []
+    for _ in range(120):
+        words = [rng.choice(("a ", "b ", "c ", "d ", *han[:8])) for _ in range(rng.randrange(12))]
+        part = list(rng.choice(items).upper())
+        for k in rng.sample(range(len(part)), min(len(part), rng.choice((0, 0, 1, 4)))):
+            part[k] = rng.choice(han)
+        texts.append("".join(words) + " " + "".join(part) + " " + "".join(words[::-1]))
+    expected = brute(texts, items)
+    assert {j for _, j, _, _ in expected} == {0, 1, 2, 3, 4, 5, 6}
+    assert got(documents(texts), bench(spark, items)) == expected
+
+
 @pytest.mark.parametrize("items", [[], [None, "", "a b c"], ["w " * 25]])
 def test_odd_texts_and_items(documents, spark, items):
     docs, benchmark = documents(ODD), bench(spark, items)

@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds, in DataFrame operations only.
 
-Words are runs of letters and digits, lowered. A seed hashes the words that a fixed mask selects
+Words are runs of letters and digits, lowered; in scripts that put no blanks between words each
+character is one. A seed hashes the words that a fixed mask selects
 from a window and ignores the others, so replaced words between them do not matter. Seeds of all
 documents are joined with those of the benchmark; each hit sets a document and an item side by
 side at one offset. There, equal words are counted position by position, and the document holds
@@ -8,11 +9,12 @@ the item if ``share`` of some ``window`` consecutive words agree (of all words,
 fewer).
 
 The three masks meet every such overlap: by trial of all patterns, each way to replace 4 of 20,
-3 of 15, 2 of 12 or 10, or 1 of 8 words leaves at least one of them a window free of it.
+3 of 15, 2 of 12 or 10, or 1 of 8 words leaves at least one of them a window free of it. Items of
+fewer than ``LEAST`` words are found where they stand word for word, by one key of all their words.
 
-Defined results: items of fewer than ``LEAST`` words are too common to identify anything and
-match nothing, nor do null or empty texts; equal items are found each; repeated rows are one
-document; documents of any length are searched whole.
+Defined results: null texts and those without words match nothing; equal items are found each;
+repeated rows are one document; documents of any length are searched whole; an empty table gives
+no rows; extra columns are ignored, and kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -26,33 +28,54 @@ from wardmill.session import stage
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
 SPAN = 8
 LEAST = 8
+# Blocks of scripts without blanks (Thai, Lao, Burmese, Khmer, kana, Han).
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+WORD = rf"[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+|[{UNSPACED}&&[\p{{L}}\p{{N}}\p{{M}}]]"
 WINDOW, SHARE = 20, 0.8
 BROADCAST_SEEDS = 1_000_000  # at most, 24 bytes each; more are joined by a shuffle
 
 
 def _hashes(text: Column) -> Column:
     """Hashes of a text's words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    found = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
     return F.transform(found, lambda word: F.xxhash64(word))
 
 
-def _seeds(df: DataFrame, *carried: str) -> DataFrame:
-    """Rows (``key``, ``pos``) of all masks at all positions of the ``hashes`` of ``df``."""
+def _whole_key(values: list[Column]) -> Column:
+    """Key of a sequence of fewer than ``LEAST`` words."""
+    return F.xxhash64(F.lit(-len(values)), *values)
+
+
+def _seeds(df: DataFrame, short: list[int], *carried: str) -> DataFrame:
+    """Rows (``key``, ``pos``) of all masks at all positions of the ``hashes`` of ``df``.
+
+    Also the keys of all sequences whose length is one of ``short``.
+    """
     shifted = [
         F.slice("hashes", o + 1, F.greatest(F.size("hashes") - o, F.lit(0))).alias(f"w{o}")
         for o in range(SPAN)
     ]
     at = df.select(*carried, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w"))
-    keys = F.array(
-        *[
-            F.when(
-                F.col(f"w.w{mask[-1]}").isNotNull(),
-                F.xxhash64(F.lit(i), *[F.col(f"w.w{o}") for o in mask]),
-            )
-            for i, mask in enumerate(MASKS)
-        ]
-    )
-    return at.select(*carried, "pos", F.explode(keys).alias("key")).where("key IS NOT NULL")
+
+    def key(last: int, value: Column) -> Column:
+        return F.when(F.col(f"w.w{last}").isNotNull(), value)
+
+    keys = [
+        key(mask[-1], F.xxhash64(F.lit(i), *[F.col(f"w.w{o}") for o in mask]))
+        for i, mask in enumerate(MASKS)
+    ]
+    keys += [key(n - 1, _whole_key([F.col(f"w.w{o}") for o in range(n)])) for n in short]
+    return at.select(*carried, "pos", F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL")
+
+
+def _item_seeds(items: DataFrame, short: list[int]) -> DataFrame:
+    """Rows (``item``, ``item_pos``, ``key``): of each short item its whole, of others all masks."""
+    seeds = _seeds(items.where(F.size("hashes") >= LEAST), [], "item")
+    for n in short:
+        whole = _whole_key([F.get("hashes", F.lit(o)) for o in range(n)])
+        own = items.where(F.size("hashes") == n)
+        seeds = seeds.union(own.select("item", F.lit(0).alias("pos"), whole.alias("key")))
+    return seeds.withColumnRenamed("pos", "item_pos")
 
 
 def _best(a: Column, b: Column, start: Column, window: int) -> Column:
@@ -94,17 +117,19 @@ def contaminated(
     """
     items = stage(
         benchmark.select("item_id", _hashes(F.coalesce("text", F.lit(""))).alias("hashes"))
-        .where(F.size("hashes") >= LEAST)
+        .where(F.size("hashes") > 0)
         .withColumn("item", F.xxhash64("item_id", "hashes"))
         .dropDuplicates(["item"]),
         "bench-items",
     )
-    seeds = _seeds(items, "item").withColumnRenamed("pos", "item_pos")
+    sizes = items.where(F.size("hashes") < LEAST).select(F.size("hashes")).distinct()
+    short = sorted(n for (n,) in sizes.collect())  # fewer than LEAST
+    seeds = _item_seeds(items, short)
     if seeds.count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
     whole = keyed(docs).select("id", "digest", "body")
     hits = stage(
-        _seeds(whole.select("id", "digest", _hashes(F.col("body")).alias("hashes")), "id", "digest")
+        _seeds(whole.select("id", "digest", _hashes(F.col("body")).alias("hashes")), short, "id", "digest")
         .join(seeds, "key")
         .select("id", "digest", "item", (F.col("pos") - F.col("item_pos")).alias("start"))
         .distinct(),
@@ -126,7 +151,8 @@ def contaminated(
             )
         ).alias("laid"),
     )
-    needed = F.ceil(F.least("item_words", F.lit(window)) * F.lit(share).cast("decimal(9,6)"))
+    part = F.ceil(F.least("item_words", F.lit(window)) * F.lit(share).cast("decimal(9,6)"))
+    needed = F.when(F.col("item_words") < LEAST, F.col("item_words")).otherwise(part)
     return (
         laid.where(F.col("laid.best") >= needed)
         .select("id", "digest", "item_id", "laid.doc_start", "laid.overlap", "laid.equal", "laid.best")
