@@ -40,10 +40,12 @@ def sketch(text) -> dict:
         numbered = h(short, Int(seen[short])) >> 29
         seen[short] += 1
         bins.setdefault(numbered >> (35 - f.BIN_BITS), []).append((numbered, place))
+    ring = sorted(m for members in bins.values() for m in members)
     out = {}
-    for b, members in bins.items():
-        two = sorted(sorted(members)[:2], key=lambda m: m[1])
-        out[b] = h(*[m[0] for m in two]) >> 32
+    for b in range(f.BINS if ring else 0):
+        at = sum(n >> (35 - f.BIN_BITS) < b for n, _ in ring)
+        two = [ring[i % len(ring)] for i in range(at, at + min(2, len(ring)))]
+        out[b] = h(*[n for n, _ in sorted(two, key=lambda m: m[1])]) >> 32
     return out
 
 
@@ -110,3 +112,34 @@ def test_order_matters_and_edits_lower_the_likeness(documents, spark):
     assert like(1) > 0.85 > 0.6 > like(2)
     # nearly all k-mers are the same, but blocks have swapped places
     assert 0.2 < like(3) < 0.8
+
+
+def test_swapped_halves_of_short_texts_are_unlike(documents):
+    rng = random.Random(3)
+    for size in (20, 40, 80, 240):
+        texts = [[f"y{rng.randrange(10**6)}" for _ in range(size)] for _ in range(40)]
+        docs = documents([" ".join(v) for t in texts for v in (t, t[size // 2 :] + t[: size // 2])])
+        rows = {r.id: r.s for r in keyed(docs).select("id", f.sketch("body").alias("s")).collect()}
+        first = min(rows)
+        pairs = [(rows[first + i], rows[first + i + 1]) for i in range(0, 80, 2)]
+        mean = sum(len({*a} & {*b}) / f.BINS for a, b in pairs) / len(pairs)
+        assert 0.1 < mean < 0.6, (size, mean)
+
+
+def test_an_id_of_most_rows_is_split(documents, spark):
+    rng = random.Random(8)
+    rows = [(7, f"text {rng.random()} of one id") for _ in range(300)]
+    rows += [(i, f"other {i} text here") for i in range(60)] + [(None, f"null {i}") for i in range(90)]
+    placed = f.with_next(documents(rows), {})
+    assert placed.count() == len(rows) and placed.where("next_body IS NULL").count() == 0
+    signed = {t: (h("body", t) + 2**63) % 2**64 - 2**63 for _, t in rows}
+    ordered = sorted(rows, key=lambda r: (-(2**63) if r[0] is None else r[0], signed[r[1]]))
+    follows = {t: ordered[(i + 1) % len(rows)][1] for i, (_, t) in enumerate(ordered)}
+    assert {r.body: r.next_body for r in placed.collect()} == follows
+    # adaptive execution would merge partitions as small as these
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [n for n in f.with_next(documents(rows), {}).rdd.glom().map(len).collect() if n]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < len(rows) / 2
