@@ -219,3 +219,25 @@ def test_declared_checks_are_as_many_as_declared():
     kinds = Counter(c.name for c in A.declared_checks())
     named = [kinds.pop(n) for n in ("not_null", "unique", "relationships", "accepted_values")]
     assert named + [sum(kinds.values())] == [25, 5, 13, 3, 8]
+
+
+def test_each_value_is_read_once(raw):
+    """Rules name a value several times; it is read in a projection of its own, once."""
+    plan = R.treat(raw())._jdf.queryExecution().optimizedPlan().toString()
+    text = r"\s*[+-]?[0-9]+\s*"
+    read = sum(line.count(text) for line in plan.splitlines())
+    assert read <= len({n for names in R.INTEGERS.values() for n in names} | {"ETNIA"})
+
+
+def test_records_settle_the_session(raw, spark):
+    """Wide plans get their settings in a session made elsewhere; its own settings stay."""
+    limit, split = "spark.sql.codegen.hugeMethodLimit", "spark.sql.files.maxPartitionBytes"
+    held = {k: spark.conf.get(k, None) for k in (limit, split)}
+    try:
+        spark.conf.unset(limit)
+        spark.conf.set(split, "3m")
+        R.treat(raw())
+        assert spark.conf.get(limit) == "8000" and spark.conf.get(split) == "3m"
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)

@@ -43,23 +43,36 @@ def narrow(c: Column, type_name: str) -> Column:
     return F.when(fits, c.cast(type_name))
 
 
-def to_int(c: Column, type_name: str) -> Column:
-    """Integer text to the given width, null if unreadable or out of range.
+def whole_number(c: Column) -> Column:
+    """Integer text as bigint, null if unreadable or out of range.
 
     Text that is no number is told apart before the cast, for the reason given in ``narrow``.
     """
     text = c.cast("string")
-    return narrow(F.when(text.rlike(INTEGER), text.try_cast("bigint")), type_name)
+    return F.when(text.rlike(INTEGER), text.try_cast("bigint"))
 
 
-def coerce_int(c: Column, type_name: str, low=None, high=None) -> Column:
-    """Whole number of the given width; unreadable or out of range gives 0."""
-    value = F.coalesce(to_int(c, type_name), F.lit(0).cast(type_name))
+def to_int(c: Column, type_name: str) -> Column:
+    """Integer text to the given width, null if unreadable or out of range."""
+    return narrow(whole_number(c), type_name)
+
+
+def bounded_int(value: Column, type_name: str, low=None, high=None) -> Column:
+    """A bigint in the given width, within bounds; null or out of range gives 0.
+
+    The value is named several times, so it is best a column of an earlier projection.
+    """
+    value = F.coalesce(narrow(value, type_name), F.lit(0).cast(type_name))
     if low is None and high is None:
         return value
     return clip(value, low, high).cast(type_name)
 
 
+def coerce_int(c: Column, type_name: str, low=None, high=None) -> Column:
+    """Whole number of the given width; unreadable or out of range gives 0."""
+    return bounded_int(whole_number(c), type_name, low, high)
+
+
 def fit(c: Column, source, target) -> Column:
     """Cast between declared types; a value that does not fit becomes null."""
     kind, held = target.simpleString(), source.typeName()
@@ -74,17 +87,30 @@ def fit(c: Column, source, target) -> Column:
 
 def to_double(c: Column) -> Column:
     """Number text to double, null if unreadable (a bare cast also takes ``12d``)."""
-    text = strip_text(c)
+    return number_value(strip_text(c))
+
+
+def number_value(text: Column) -> Column:
+    """Stripped number text to double, null if unreadable."""
     return F.when(text.rlike(SIGNED_NUMBER), text.try_cast("double"))
 
 
+def money_text(c: Column) -> Column:
+    """Money text with a point as its decimal mark, without blanks and minus signs."""
+    return F.translate(c.cast("string"), ", -", ".")
+
+
 def clean_money(c: Column) -> Column:
     """Money text to a non-negative double.
 
     The comma is the decimal mark; blanks and minus signs are deleted, so ``-3,2`` is 3.2
     and a text with a thousands point is unreadable and gives 0.
     """
-    text = F.translate(c.cast("string"), ", -", ".")
+    return money_value(money_text(c))
+
+
+def money_value(text: Column) -> Column:
+    """What ``money_text`` leaves to a non-negative double, 0 if unreadable."""
     value = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.greatest(F.coalesce(value, F.lit(0.0)), F.lit(0.0))
 

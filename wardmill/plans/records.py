@@ -9,22 +9,28 @@ from pyspark.sql import functions as F
 
 from wardmill.functions import (
     age_years,
-    clean_money,
+    bounded_int,
     clip,
-    code_text,
-    coerce_int,
+    code_value,
     correct_by,
+    money_text,
+    money_value,
+    narrow,
+    number_value,
     parse_date,
     recode,
-    region_code,
+    region_digits,
+    region_value,
     stay_days,
-    to_double,
-    to_int,
+    strip_text,
     total_of,
+    upper_text,
+    whole_number,
 )
 from wardmill.operators.contract import contract
 from wardmill.operators.project import apply_rules, ensure_columns
 from wardmill.operators.standing import Contraction
+from wardmill.session import settle
 
 # The 46 columns of a record, in order.
 COLUMNS = (
@@ -57,25 +63,39 @@ ETHNICITY_MAX = 264
 INDIGENOUS = 5
 
 
+def _reading(columns: list[str]) -> dict[str, Column]:
+    """Numbers and trimmed texts of raw columns.
+
+    The rules on them name a value up to a dozen times; as columns of an earlier projection
+    each is worked out once.
+    """
+    rules = {n: whole_number(F.col(n)) for names in INTEGERS.values() for n in names}
+    rules["ETNIA"] = whole_number(F.col("ETNIA"))
+    rules.update({n: money_text(F.col(n)) for n in MONEY})
+    rules.update({n: region_digits(F.col(n)) for n in REGIONS})
+    rules.update({n: upper_text(F.col(n)) for n in CODES})
+    return {n: rule for n, rule in rules.items() if n in columns}
+
+
 def _first_pass(columns: list[str]) -> dict[str, Column]:
-    """Rules that read one raw column each."""
+    """Rules that read one column of ``_reading``, or a raw date, each."""
     rules: dict[str, Column] = {}
     for type_name, names in INTEGERS.items():
-        rules.update({n: coerce_int(F.col(n), type_name) for n in names})
-    rules.update({n: clean_money(F.col(n)) for n in MONEY})
+        rules.update({n: bounded_int(F.col(n), type_name) for n in names})
+    rules.update({n: money_value(F.col(n)) for n in MONEY})
     rules.update({n: parse_date(F.col(n)) for n in DATES})
-    rules.update({n: region_code(F.col(n)) for n in REGIONS})
-    rules.update({n: code_text(F.col(n)) for n in CODES})
-    rules["PROC_REA"] = coerce_int(F.col("PROC_REA"), "bigint", low=0)
+    rules.update({n: region_value(F.col(n)) for n in REGIONS})
+    rules.update({n: code_value(F.col(n)) for n in CODES})
+    rules["PROC_REA"] = bounded_int(F.col("PROC_REA"), "bigint", low=0)
     rules["NACIONAL"] = clip(
-        recode(coerce_int(F.col("NACIONAL"), "smallint"), NATIONALITY_DEFAULT), 0, NATIONALITY_MAX
+        recode(bounded_int(F.col("NACIONAL"), "smallint"), NATIONALITY_DEFAULT), 0, NATIONALITY_MAX
     ).cast("smallint")
     if {"RACA_COR", "ETNIA"} <= set(columns):
-        rules["RACA_COR"] = coerce_int(F.col("RACA_COR"), "tinyint", 0, RACE_MAX)
+        rules["RACA_COR"] = bounded_int(F.col("RACA_COR"), "tinyint", 0, RACE_MAX)
         # Wide enough for every code up to the limit.
-        rules["ETNIA"] = coerce_int(F.col("ETNIA"), "smallint", 0, ETHNICITY_MAX)
+        rules["ETNIA"] = bounded_int(F.col("ETNIA"), "smallint", 0, ETHNICITY_MAX)
     elif "ETNIA" in columns:
-        rules["ETNIA"] = coerce_int(F.col("ETNIA"), "smallint")
+        rules["ETNIA"] = bounded_int(F.col("ETNIA"), "smallint")
     return {n: rule for n, rule in rules.items() if n in columns}
 
 
@@ -93,13 +113,16 @@ def derived(columns: list[str]) -> Mapping[str, Column]:
 
 
 def treat(raw: DataFrame) -> DataFrame:
-    """Clean and type raw text records. Every row is kept, one projection per pass.
+    """Clean and type raw text records. Every row is kept, one projection per pass: read, rules of
+    one column, rules of several.
 
     A rule applies only if its column exists. An id that cannot be read becomes 0; see
     ``unidentified``.
     """
     frame = ensure_columns(raw, {"VAL_UTI": F.lit("0")})
-    cleaned = apply_rules(frame, _first_pass(frame.columns))
+    settle(raw.sparkSession)
+    read = apply_rules(frame, _reading(frame.columns))
+    cleaned = apply_rules(read, _first_pass(frame.columns))
     second = dict(derived(cleaned.columns))
     if {"RACA_COR", "ETNIA"} <= set(cleaned.columns):
         foreign = (F.col("RACA_COR") != INDIGENOUS) & (F.col("ETNIA") != 0)
@@ -111,17 +134,18 @@ def treat(raw: DataFrame) -> DataFrame:
 def type_only(raw: DataFrame) -> DataFrame:
     """Types without imputation: money, dates and three small integers; failures are null."""
     frame = ensure_columns(raw, {"VAL_UTI": F.lit("0")})
-    rules = {n: to_double(F.col(n)) for n in MONEY}
+    widths = {"NACIONAL": "smallint", "NUM_FILHOS": "tinyint", "ETNIA": "tinyint"}
+    settle(raw.sparkSession)
+    reading = {n: strip_text(F.col(n)) for n in MONEY} | {n: whole_number(F.col(n)) for n in widths}
+    rules = {n: number_value(F.col(n)) for n in MONEY}
     rules.update({n: parse_date(F.col(n)) for n in DATES})
-    rules["NACIONAL"] = to_int(F.col("NACIONAL"), "smallint")
-    rules["NUM_FILHOS"] = to_int(F.col("NUM_FILHOS"), "tinyint")
-    rules["ETNIA"] = to_int(F.col("ETNIA"), "tinyint")
-    return apply_rules(frame, {n: rule for n, rule in rules.items() if n in frame.columns})
+    rules.update({n: narrow(F.col(n), type_name) for n, type_name in widths.items()})
+    return apply_rules(apply_rules(frame, reading), rules)
 
 
 def unidentified(raw: DataFrame) -> DataFrame:
     """Raw rows whose case id cannot be read; ``treat`` files them under id 0."""
-    return raw.where(to_int(F.col("N_AIH"), "bigint").isNull())
+    return raw.where(whole_number(F.col("N_AIH")).isNull())
 
 
 def first_by() -> list[str | Column]:

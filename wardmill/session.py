@@ -19,7 +19,12 @@ SETTINGS = {
     # makes such methods; past this limit Spark uses its split-up projections instead, which
     # halves the time.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A row group or so for each task. Contracting sorts the wide rows of a task by their key, which
+    # stays in memory for a million rows and is spilled whole for several.
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
+# Those of them that wide plans need in a session made elsewhere as well.
+WIDE = ("spark.sql.codegen.hugeMethodLimit", "spark.sql.files.maxPartitionBytes")
 
 
 def build_session(app_name: str = "wardmill", master: str | None = None, **extra: str) -> SparkSession:
@@ -31,6 +36,13 @@ def build_session(app_name: str = "wardmill", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def settle(spark: SparkSession) -> None:
+    """Give a session made elsewhere the settings of wide plans; what it has set itself stays."""
+    for key in WIDE:
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, SETTINGS[key])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
