@@ -66,6 +66,27 @@ def test_the_last_stage_gives_the_mixed_texts(spark, documents):
         assert r.texts == [body] * copies + [" ".join(body.split()[:rest])] * (rest > 0)
 
 
+def test_the_given_texts_are_moved_once(spark, documents):
+    docs = documents(["a b", "c d e"])
+    plan = mix.mix(docs).localCheckpoint()
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = mix.given(docs, plan)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert shown.count("Exchange hashpartitioning") == 2  # the texts and the plan
+
+
+def test_given_texts_of_documents_without_id(spark):
+    shape = "doc_id long, text string, source string"
+    docs = spark.createDataFrame([(None, "a b", "x"), (0, "a b", "x"), (1, None, "x")], shape)
+    rows = mix.given(docs, mix.mix(docs).localCheckpoint()).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id) for r in rows) == [-1, 0, 1]
+    for r in rows:
+        assert sum(len(text.split()) for text in r.texts) == r.taken
+
+
 def test_mix_of_nothing_and_of_repeated_rows(documents, spark):
     assert mix.mix(documents(["a"]).limit(0)).count() == 0
     twice = documents([(1, "a b c")] * 3 + [(None, "d e"), (None, None)])

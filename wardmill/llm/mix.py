@@ -131,15 +131,19 @@ def given(docs: DataFrame, plan: DataFrame) -> DataFrame:
     of which nothing is taken gives an empty list. Repeated rows each give what their own row of
     the plan takes, so the lists hold exactly the words taken.
     """
-    bodies = keyed(docs).groupBy("id", "digest").agg(F.first("body").alias("body"))
-    named = plan.withColumnRenamed("doc_id", "id")
+    # Grouping and joining by the same columns without nulls moves the texts once; a join that holds
+    # for nulls would deal them out by other expressions again.
+    def placed(rows: DataFrame, id_: str) -> DataFrame:
+        return rows.select(
+            "*", F.coalesce(id_, F.lit(0)).alias("_at"), F.col(id_).isNull().alias("_none")
+        )
+
+    document = ["_at", "_none", "digest"]
+    bodies = placed(keyed(docs), "id").groupBy(*document).agg(F.first("body").alias("body"))
     rest = (F.col("taken") % F.col("size")).cast("int")
     whole = F.array_repeat("body", F.floor(F.col("taken") / F.col("size")).cast("int"))
     first = F.array_join(F.slice(words(F.col("body")), 1, rest), " ")
     texts = F.when(F.col("taken") == 0, F.array().cast("array<string>")).otherwise(
         F.when(rest == 0, whole).otherwise(F.concat(whole, F.array(first)))
     )
-    return named.join(bodies, same_document(named, bodies)).select(
-        *[named["id"].alias("doc_id") if c == "doc_id" else named[c] for c in plan.columns],
-        texts.alias("texts"),
-    )
+    return placed(plan, "doc_id").join(bodies, document).select(*plan.columns, texts.alias("texts"))
