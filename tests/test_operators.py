@@ -244,6 +244,20 @@ def test_dataset_diff_of_a_hot_key_counts_its_pairs(spark):
     assert (row.equal, row.different) == (4 * 5000 * 4000, 20000**2 - 4 * 5000 * 4000)
 
 
+def test_dataset_diff_joins_keys_that_are_repeated_a_few_times(spark):
+    """Three rows on each side are nine pairs of a key, fewer than the values its rows hold."""
+    schema = "k int, t string, v double"
+    a = spark.createDataFrame([(1, "x", 0.0), (1, "x", None), (1, "y", 1.0), (2, "z", 1.0)], schema)
+    b = spark.createDataFrame([(1, "x", -0.0), (1, "y", 0.0), (1, None, 1.0), (3, "z", 1.0)], schema)
+    few = P.dataset_diff(a, b, ["k"])
+    assert {r.column: (r.equal, r.different) for r in few.collect()} == {"t": (3, 6), "v": (3, 6)}
+    assert "explode(" not in few._jdf.queryExecution().optimizedPlan().toString()
+    # With a key of 100 rows beside it, both ways add up.
+    many = spark.range(100).select(F.lit(7).alias("k"), F.lit("x").alias("t"), F.lit(1.0).alias("v"))
+    got = P.dataset_diff(a.unionByName(many), b.unionByName(many), ["k"])
+    assert {r.column: (r.equal, r.different) for r in got.collect()} == {"t": (10003, 6), "v": (10003, 6)}
+
+
 def test_dataset_diff_with_unique_keys(spark):
     a = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "k int, t string")
     b = spark.createDataFrame([(1, "x"), (2, None), (4, "y")], "k int, t string")

@@ -141,52 +141,46 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Share of equal values per column over the pairs of rows that share a key.
 
     Null equals nothing, as in an SQL comparison. Where the sides differ in type, ``b`` is cast to
-    the type of ``a``, and a value that does not fit is null. Keys held once on each side are
-    compared directly. For a repeated key the pairs are not built: the pairs that agree on a value
-    are the product of the two sides' counts of it. Products are summed as decimals, since two
-    counts of some billions overflow a long.
-
-    The counts by key are written once. Both the direct comparison and the repeated keys start
-    from there, and the join back to the rows is one of plain shuffles, which adaptive execution
-    can split where a key is hot.
+    the type of ``a``, and a value that does not fit is null. The pairs of a key are joined and compared
+    if they are no more than the values its rows hold. For the other keys, repeated often on both
+    sides, the pairs are not built: the pairs that agree on a value are the product of the two
+    sides' counts of it. So the work never exceeds that of counting every value. Products are
+    summed as decimals, since two counts of some billions overflow a long.
+
+    Rows are counted by key first, which reads the keys alone, and the counts are written once. The
+    joins are ones of plain shuffles, which adaptive execution can split where a key is hot.
     """
     keys = [k for k in keys if k in a.columns and k in b.columns]
     columns = [c for c in a.columns if c in b.columns and c not in keys]
     held, wanted = ({f.name: f.dataType for f in df.schema.fields} for df in (b, a))
+    a = a.select(*keys, *columns).dropna(subset=keys)
     b = b.select(
         *[
             F.col(c) if held[c] == wanted[c] else fit(F.col(c), held[c], wanted[c]).alias(c)
             for c in (*keys, *columns)
         ]
-    )
+    ).dropna(subset=keys)
     left, right = F.col("_side") == 0, F.col("_side") == 1
-    both = (
-        a.select(*keys, *columns, F.lit(0).alias("_side"))
-        .unionByName(b.select(*keys, *columns, F.lit(1).alias("_side")))
-        .dropna(subset=keys)
-    )
-    row = F.struct(*[F.col(c) for c in columns])
+    both = a.select("*", F.lit(0).alias("_side")).unionByName(b.select("*", F.lit(1).alias("_side")))
     per_key = stage(
         both.groupBy(*keys)
-        .agg(
-            F.count_if(left).alias("_na"),
-            F.count_if(right).alias("_nb"),
-            F.min(F.when(left, row)).alias("_a"),
-            F.min(F.when(right, row)).alias("_b"),
-        )
+        .agg(F.count_if(left).alias("_na"), F.count_if(right).alias("_nb"))
         .where("_na > 0 AND _nb > 0"),
         "diff-keys",
     )
     pairs = F.col("_na").cast("decimal(19,0)") * F.col("_nb").cast("decimal(19,0)")
-    single = (F.col("_na") == 1) & (F.col("_nb") == 1)
-    direct = per_key.agg(
-        F.coalesce(F.sum(pairs), F.lit(0)).cast("decimal(38,0)").alias("_pairs"),
-        *[
-            F.count_if(single & (F.col(f"_a.{c}") == F.col(f"_b.{c}"))).alias(f"e{i}")
-            for i, c in enumerate(columns)
-        ],
-    )
-    direct_rows = direct.select(
+    values = (F.col("_na") + F.col("_nb")) * F.lit(len(columns))
+    repeated = per_key.where(pairs > values).select(*[F.col(k).alias(f"_k{k}") for k in keys])
+    total = per_key.agg(F.coalesce(F.sum(pairs), F.lit(0)).cast("decimal(38,0)").alias("_pairs"))
+    some_repeated = not repeated.isEmpty()
+    few = a
+    if some_repeated:
+        few = a.join(repeated, [a[k] == repeated[f"_k{k}"] for k in keys], "left_anti")
+    others = b.select(*[F.col(c).alias(f"_b{c}") for c in (*keys, *columns)])
+    direct = few.join(others, [few[k] == others[f"_b{k}"] for k in keys]).agg(
+        *[F.count_if(F.col(c) == F.col(f"_b{c}")).alias(f"e{i}") for i, c in enumerate(columns)]
+    )
+    direct_rows = total.crossJoin(direct).select(
         F.inline(
             F.array(
                 *[
@@ -200,33 +194,36 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
             )
         )
     )
-    repeated = per_key.where(~single).select(*[F.col(k).alias(f"_k{k}") for k in keys])
-    on = [both[k] == repeated[f"_k{k}"] for k in keys]
-    floating = {f.name for f in both.schema if f.dataType.typeName() in ("float", "double")}
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                # Adding 0.0 turns a negative zero into the zero it equals.
-                (F.col(c) + F.lit(0.0) if c in floating else F.col(c)).cast("string").alias("v"),
+    found = [direct_rows]
+    if some_repeated:
+        on = [both[k] == repeated[f"_k{k}"] for k in keys]
+        floating = {f.name for f in both.schema if f.dataType.typeName() in ("float", "double")}
+        cells = F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    # Adding 0.0 turns a negative zero into the zero it equals.
+                    (F.col(c) + F.lit(0.0) if c in floating else F.col(c)).cast("string").alias("v"),
+                )
+                for c in columns
+            ]
+        )
+        per_value = (
+            both.join(repeated, on, "left_semi")
+            .select(*keys, "_side", F.explode(cells).alias("cell"))
+            .select(*keys, "_side", "cell.column", "cell.v")
+            .where(F.col("v").isNotNull())
+            .groupBy(*keys, "column", "v")
+            .agg(F.count_if(left).alias("_na"), F.count_if(right).alias("_nb"))
+        )
+        found.append(
+            per_value.groupBy("column").agg(
+                F.lit(0).cast("decimal(38,0)").alias("pairs"),
+                F.sum(pairs).cast("decimal(38,0)").alias("equal"),
             )
-            for c in columns
-        ]
-    )
-    per_value = (
-        both.join(repeated, on, "left_semi")
-        .select(*keys, "_side", F.explode(cells).alias("cell"))
-        .select(*keys, "_side", "cell.column", "cell.v")
-        .where(F.col("v").isNotNull())
-        .groupBy(*keys, "column", "v")
-        .agg(F.count_if(left).alias("_na"), F.count_if(right).alias("_nb"))
-    )
-    repeated_rows = per_value.groupBy("column").agg(
-        F.lit(0).cast("decimal(38,0)").alias("pairs"),
-        F.sum(pairs).cast("decimal(38,0)").alias("equal"),
-    )
+        )
     totals = (
-        direct_rows.unionByName(repeated_rows)
+        reduce(DataFrame.unionByName, found)
         .groupBy("column")
         .agg(
             F.sum("pairs").cast("decimal(38,0)").alias("_pairs"),
