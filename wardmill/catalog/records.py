@@ -390,10 +390,12 @@ LOOKUPS = {
 def star_schema(spark, sf_dir):
     """Every table as it is loaded: declared columns and types, services with their id.
 
-    The treated and contracted records are written once, since every table reads one of them.
+    The treated and contracted records are written once, since every table reads one of them, and so
+    are the hospitals, which several checks read.
     """
     treated = stage(treat(raw_records(spark, sf_dir)), "treated")
     tables = star_tables(treated, stage(contract_records(treated), "contracted"))
+    tables["hospital"] = stage(tables["hospital"], "hospital")
     for name, (source, columns) in LOOKUPS.items():
         tables[name] = derive(table(spark, sf_dir, source), columns)
     return {name: prepare(df, name) for name, df in tables.items()}

@@ -77,14 +77,18 @@ def new_keys(listed: DataFrame, present: DataFrame, key: str) -> DataFrame:
 
 
 def _partition_offsets(placed: DataFrame, size: Column) -> DataFrame:
-    """Rows before each range partition and in all: one row per partition, so one for each task."""
+    """Rows before each range partition and in all: one row per partition, so one for each task.
+
+    Written, so that Spark knows how small it is and need not shuffle what it is joined with.
+    """
     sizes = placed.groupBy("_part").agg(size.alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(
+    offsets = sizes.select(
         "_part",
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
         F.sum("_size").over(Window.partitionBy()).alias("_total"),
     )
+    return stage(offsets, "offsets")
 
 
 def number_rows(

@@ -7,7 +7,7 @@ one of other keys, kept as text. Distinct-per-key checks aggregate by key first.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,6 +29,7 @@ from wardmill.operators.keys import orphan_counts
 from wardmill.session import stage
 
 WORD = 64  # bits of a long
+ROLES = "array<struct<g:int,is_child:boolean>>"
 SCORE_COLUMNS = ("check_name", "table_name", "column_name", "violations", "passed", "reason")
 
 
@@ -244,7 +245,37 @@ def _count_texts(keys: DataFrame) -> DataFrame:
     )
 
 
-def _count_numbers(keys: DataFrame, refers: Sequence[int]) -> list[DataFrame]:
+def _read_numbers(tables: Mapping[str, DataFrame], wanted: Sequence[tuple[int, tuple]]) -> DataFrame:
+    """The whole numbers of the wanted columns under their numbers, each table being read once."""
+    uses: dict[str, list[Column]] = {}
+    for number, (name, columns) in wanted:
+        uses.setdefault(name, []).append(_number_use(columns, [LongType()], number, 1))
+    parts = [tables[name].select(F.inline(F.array(*found))) for name, found in uses.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _handed_out(words: DataFrame, groups: Mapping[int, Sequence[int]]) -> DataFrame:
+    """The words of columns for the groups that name them: a child, and its parent if there is one."""
+    listed = [[] for _ in range(1 + max(column for group in groups.values() for column in group))]
+    for number, group in groups.items():
+        for i, column in enumerate(group):
+            listed[column].append(F.struct(F.lit(number).alias("g"), F.lit(i == 0).alias("is_child")))
+    roles = F.array(*[F.array(*found).cast(ROLES) for found in listed])
+    mine, none = F.col("is_child"), F.lit(0).cast("long")
+    handed = words.select(F.inline(F.get(roles, F.col("g"))), F.col("ours").alias("bits"), "word", "n")
+    return handed.groupBy("g", "word").agg(
+        F.bit_or(F.when(mine, F.col("bits")).otherwise(none)).alias("ours"),
+        F.bit_or(F.when(mine, none).otherwise(F.col("bits"))).alias("theirs"),
+        F.sum(F.when(mine, F.col("n")).otherwise(none)).alias("n"),
+    )
+
+
+def _count_numbers(
+    keys: DataFrame,
+    refers: Sequence[int],
+    groups: Mapping[int, Sequence[int]] | None = None,
+    read_again: Callable[[Sequence[int]], DataFrame] | None = None,
+) -> list[DataFrame]:
     """As ``_count_texts``, for whole numbers kept as bits.
 
     What is exchanged is one row for each word of 64 neighbouring keys, with the bits that occur
@@ -252,6 +283,9 @@ def _count_numbers(keys: DataFrame, refers: Sequence[int]) -> list[DataFrame]:
     costs no more than it would by itself. A word without a fault, as all are in clean data,
     adds nothing and ends there. Where all children of a word lack a parent, its rows are the
     orphans. Only keys in the other faulty words are read a second time and counted one by one.
+
+    With ``groups`` the keys are those of columns, each read and counted once, and their words are
+    handed to the groups that name the column; ``read_again`` reads the children of some groups.
     """
     keys = keys.where("word IS NOT NULL")
     refer = F.col("g").isin(*refers) if refers else F.lit(False)
@@ -259,6 +293,7 @@ def _count_numbers(keys: DataFrame, refers: Sequence[int]) -> list[DataFrame]:
     words = keys.groupBy("g", "word").agg(
         F.bit_or("ours").alias("ours"), F.bit_or("theirs").alias("theirs"), F.sum("child").alias("n")
     )
+    words = words if groups is None else _handed_out(words, groups)
     faulty = words.where(F.when(refer, lacking != 0).otherwise(F.col("n") > F.bit_count("ours")))
     faulty = stage(faulty, "key-words")
     alone = refer & (F.col("ours").bitwiseAND(F.col("theirs")) == 0)
@@ -268,9 +303,11 @@ def _count_numbers(keys: DataFrame, refers: Sequence[int]) -> list[DataFrame]:
         )
     ]
     mixed = faulty.where(~alone).select("g", "word", F.col("theirs").alias("known"))
-    if not mixed.isEmpty():
+    again = sorted(row["g"] for row in mixed.select("g").distinct().collect())  # groups, so few
+    if again:
         single = (
-            keys.where("child = 1")
+            (read_again(again) if read_again else keys)
+            .where("child = 1")
             .select("g", "word", "ours")
             .join(mixed, ["g", "word"])
             .where(F.col("ours").bitwiseAND(F.bitwise_not("known")) != 0)
@@ -288,12 +325,13 @@ def _count_numbers(keys: DataFrame, refers: Sequence[int]) -> list[DataFrame]:
 def _score_keys(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """All unique and relationship checks by one aggregation of numbers and one of other keys.
 
-    Every table gives, for each group of keys it takes part in, its key as a child or as a parent.
-    Checks of one key share a group.
+    Checks of one key share a group. Every table gives its whole-number columns once, whatever
+    groups they are in, and its other keys for each group as a child or as a parent.
     """
     groups: dict[tuple, int] = {}
-    uses: dict[bool, dict[str, list[Column]]] = {True: {}, False: {}}
-    refers = []
+    columns: dict[tuple, int] = {}
+    numbers: dict[int, list[int]] = {}
+    texts: dict[str, list[Column]] = {}
     listed = []
     for check in checks:
         to = (check.to_table, check.to_columns) if isinstance(check, RelationshipCheck) else ()
@@ -301,13 +339,13 @@ def _score_keys(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Dat
         if group not in groups:
             number = groups[group] = len(groups)
             types = _key_types(tables, check)
-            numeric = _counts_up(types)
-            use = _number_use if numeric else _text_use
-            found = uses[numeric]
-            found.setdefault(check.table, []).append(use(check.columns, types, number, 1))
-            if to:
-                found.setdefault(to[0], []).append(use(to[1], types, number, 0))
-                refers.append(number)
+            sides = [(check.table, check.columns), *([to] if to else [])]
+            if _counts_up(types):
+                numbers[number] = [columns.setdefault(side, len(columns)) for side in sides]
+            else:
+                for i, (name, members) in enumerate(sides):
+                    use = _text_use(members, types, number, 1 - i)
+                    texts.setdefault(name, []).append(use)
         listed.append(
             F.struct(
                 F.lit(check.name).alias("check_name"),
@@ -318,12 +356,19 @@ def _score_keys(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Dat
             )
         )
 
-    def keys(numeric: bool) -> DataFrame:
-        parts = [tables[t].select(F.inline(F.array(*found))) for t, found in uses[numeric].items()]
-        return reduce(DataFrame.unionByName, parts)
+    counts = []
+    if numbers:
+        held = list(columns)
+        refers = [number for number, group in numbers.items() if len(group) == 2]
+        keys = _read_numbers(tables, [(i, column) for i, column in enumerate(held)])
+
+        def read_again(wanted: Sequence[int]) -> DataFrame:
+            return _read_numbers(tables, [(number, held[numbers[number][0]]) for number in wanted])
 
-    counts = _count_numbers(keys(True), refers) if uses[True] else []
-    counts += [_count_texts(keys(False))] if uses[False] else []
+        counts += _count_numbers(keys, refers, numbers, read_again)
+    if texts:
+        parts = [tables[t].select(F.inline(F.array(*found))) for t, found in texts.items()]
+        counts.append(_count_texts(reduce(DataFrame.unionByName, parts)))
     counted = (
         reduce(DataFrame.unionByName, counts)
         .groupBy("g")
