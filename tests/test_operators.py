@@ -476,5 +476,11 @@ def test_keys_are_read_again_only_where_a_word_is_faulty(spark, tmp_path):
 
 def test_rows_that_are_numbered_stay_in_place(spark):
     """What the rows are joined with is small and known to be, so the rows are not shuffled."""
-    plan = number_rows(spark.range(1000), "n")._jdf.queryExecution().executedPlan().toString()
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "20000")
+    try:
+        plan = number_rows(spark.range(200_000), "n")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
